@@ -47,7 +47,8 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows of whole texts per Arrow batch, so that a Python worker holds a few MB of them."""
+    """Bounds Arrow batches of whole texts, so that a Python worker holds a few MB of them."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 

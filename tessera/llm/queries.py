@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality
+from . import mixing, packing, quality, warc
 from .common import load
 
 
@@ -17,5 +17,24 @@ def op7_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(load(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
 
 
-QUERIES = {f.__name__: f for f in (op6_curriculum_mix, op7_robust_outliers)}
-ORACLES: dict[str, str] = {}
+def op3_segment_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(load(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to")
+
+
+def op10_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op3_segment_reassembly, op6_curriculum_mix, op7_robust_outliers, op10_ordered_packing)}
+ORACLES: dict[str, str] = {
+    "op3_segment_reassembly": """
+        with p as (select page_id, coalesce(html, '') as html from pages),
+        d as (select page_id, strlen(html)::bigint as payload_bytes, sha1(html) as payload_digest,
+                     max(page_id) over (partition by html) as response from p)
+        select page_id, payload_bytes, payload_digest,
+               case when payload_bytes >= 1000 and response <> page_id then 'revisit' else 'response' end as record_type,
+               case when payload_bytes >= 1000 and response <> page_id then response end as refers_to
+        from d
+    """,
+}
