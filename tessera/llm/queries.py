@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, warc
+from . import lines, mixing, packing, quality, warc
 from .common import load
 
 
@@ -22,11 +22,16 @@ def op3_segment_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to")
 
 
+def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(load(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "lines_removed", "runs_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"), F.octet_length("text").cast("long").alias("kept_bytes"))
+
+
 def op10_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_segment_reassembly, op6_curriculum_mix, op7_robust_outliers, op10_ordered_packing)}
+QUERIES = {f.__name__: f for f in (op3_segment_reassembly, op6_curriculum_mix, op7_robust_outliers, op8_line_runs, op10_ordered_packing)}
 ORACLES: dict[str, str] = {
     "op3_segment_reassembly": """
         with p as (select page_id, coalesce(html, '') as html from pages),
@@ -37,4 +42,19 @@ ORACLES: dict[str, str] = {
                case when payload_bytes >= 1000 and response <> page_id then response end as refers_to
         from d
     """,
+    "op8_line_runs": """
+        with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as nr from documents where text is not null),
+        w as (select doc_id, nr, line, row_number() over (partition by doc_id order by nr) - 1 as pos from l where regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+        p as (select doc_id, pos, line, lead(line) over (partition by doc_id order by pos) as next from w),
+        f as (select *, min((doc_id, pos)) over (partition by line, next) as first from p where next is not null),
+        s as (select doc_id, pos from f where first <> (doc_id, pos)),
+        g as (select distinct doc_id, pos + k as pos from s, (values (0), (1)) v(k)),
+        i as (select doc_id, pos, pos - row_number() over (partition by doc_id order by pos) as island from g),
+        r as (select doc_id, count(*) as lines_removed, count(distinct island) as runs_removed from i group by doc_id),
+        k as (select l.doc_id, string_agg(l.line, chr(10) order by l.nr) as kept from l left join w using (doc_id, nr) left join g on g.doc_id = l.doc_id and g.pos = w.pos where g.pos is null group by l.doc_id)
+        select d.doc_id, coalesce(lines_removed, 0)::bigint as lines_removed, coalesce(runs_removed, 0)::bigint as runs_removed,
+               case when d.text is not null then sha256(coalesce(kept, '')) end as kept_sha256,
+               case when d.text is not null then strlen(coalesce(kept, ''))::bigint end as kept_bytes
+        from documents d left join r using (doc_id) left join k using (doc_id)
+    """,
 }
