@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mixing, packing, quality, warc
+from . import chat, lines, mixing, packing, quality, warc
 from .common import load
 
 
@@ -17,6 +17,10 @@ def op7_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(load(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
 
 
+def op2_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse_and_render(load(spark, sf_dir, "conversations"))
+
+
 def op3_segment_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.round_trip(load(spark, sf_dir, "pages"))
     return read.select("page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to")
@@ -31,8 +35,18 @@ def op10_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_segment_reassembly, op6_curriculum_mix, op7_robust_outliers, op8_line_runs, op10_ordered_packing)}
+QUERIES = {f.__name__: f for f in (op2_snapshot_collapse, op3_segment_reassembly, op6_curriculum_mix, op7_robust_outliers, op8_line_runs, op10_ordered_packing)}
 ORACLES: dict[str, str] = {
+    "op2_snapshot_collapse": """
+        with t as (select distinct conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations),
+        n as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as ordinal from t),
+        p as (select conv_id, ordinal, md5(string_agg(strlen(role) || ':' || strlen(text) || ':' || role || text, '' order by ordinal) over (partition by conv_id order by ordinal rows unbounded preceding)) as h,
+                     count(*) over (partition by conv_id) as turns from n),
+        m as (select ordinal, h, min(conv_id) as conv_id, any_value(turns) as turns from p where ordinal = turns and not exists (select 1 from p q where q.ordinal = p.ordinal and q.h = p.h and q.turns > q.ordinal) group by ordinal, h)
+        select n.conv_id, ((n.ordinal - 1) // 64)::bigint as part, m.turns::bigint as turns,
+               string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' order by n.ordinal) as text
+        from n join m using (conv_id) group by n.conv_id, (n.ordinal - 1) // 64, m.turns
+    """,
     "op3_segment_reassembly": """
         with p as (select page_id, coalesce(html, '') as html from pages),
         d as (select page_id, strlen(html)::bigint as payload_bytes, sha1(html) as payload_digest,
