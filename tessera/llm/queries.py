@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lines, mixing, packing, quality, warc
+from . import chat, lines, mixing, packing, quality, superkmers, warc
 from .common import load
 
 
+def op4_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmers.remove_repeated_windows(load(spark, sf_dir, "documents"), keep_text=False).drop("kept")
+
+
 def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents")).drop("source")
 
@@ -35,7 +39,7 @@ def op10_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_snapshot_collapse, op3_segment_reassembly, op6_curriculum_mix, op7_robust_outliers, op8_line_runs, op10_ordered_packing)}
+QUERIES = {f.__name__: f for f in (op2_snapshot_collapse, op3_segment_reassembly, op4_super_kmers, op6_curriculum_mix, op7_robust_outliers, op8_line_runs, op10_ordered_packing)}
 ORACLES: dict[str, str] = {
     "op2_snapshot_collapse": """
         with t as (select distinct conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations),
