@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lines, mixing, packing, quality, superkmers, warc
+from . import chat, lines, mixing, packing, quality, runindex, superkmers, warc
 from .common import load
 
 
@@ -21,6 +21,10 @@ def op7_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(load(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
 
 
+def op1_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runindex.remove_repeated_bytes(load(spark, sf_dir, "documents"), keep_text=False).drop("kept")
+
+
 def op2_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse_and_render(load(spark, sf_dir, "conversations"))
 
@@ -39,7 +43,7 @@ def op10_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_snapshot_collapse, op3_segment_reassembly, op4_super_kmers, op6_curriculum_mix, op7_robust_outliers, op8_line_runs, op10_ordered_packing)}
+QUERIES = {f.__name__: f for f in (op1_run_length_index, op2_snapshot_collapse, op3_segment_reassembly, op4_super_kmers, op6_curriculum_mix, op7_robust_outliers, op8_line_runs, op10_ordered_packing)}
 ORACLES: dict[str, str] = {
     "op2_snapshot_collapse": """
         with t as (select distinct conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations),
