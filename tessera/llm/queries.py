@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lines, mixing, packing, quality, runindex, superkmers, warc
+from . import chat, crosspolytope, lines, mixing, packing, quality, runindex, sigtree, superkmers, warc
 from .common import load
 
 
@@ -13,6 +13,10 @@ def op4_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmers.remove_repeated_windows(load(spark, sf_dir, "documents"), keep_text=False).drop("kept")
 
 
+def op5_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents")).drop("source")
 
@@ -39,11 +43,15 @@ def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "lines_removed", "runs_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"), F.octet_length("text").cast("long").alias("kept_bytes"))
 
 
+def op9_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sigtree.jaccard_groups(load(spark, sf_dir, "documents"))
+
+
 def op10_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_run_length_index, op2_snapshot_collapse, op3_segment_reassembly, op4_super_kmers, op6_curriculum_mix, op7_robust_outliers, op8_line_runs, op10_ordered_packing)}
+QUERIES = {f.__name__: f for f in (op1_run_length_index, op2_snapshot_collapse, op3_segment_reassembly, op4_super_kmers, op5_cross_polytope, op6_curriculum_mix, op7_robust_outliers, op8_line_runs, op9_signature_trees, op10_ordered_packing)}
 ORACLES: dict[str, str] = {
     "op2_snapshot_collapse": """
         with t as (select distinct conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations),
