@@ -13,8 +13,8 @@ the chunk framing, and checked against the digest in the header. Revisits are re
 their response by a join.
 
 Defined results: a null html is an empty payload; repeated page ids are kept as separate records
-(their ids carry a number in the file); the response of a group of equal payloads with a repeated
-largest id is one of those rows, the others with that id revisit it; an empty table gives no archive
+(record ids carry task and number); all rows with the largest id of a group of equal payloads are
+responses; a null page_id revisits like others; an empty table gives no archive
 and no row; extra columns are ignored. A damaged record (missing segment, wrong length, broken
 framing or digest) raises unless ``strict`` is off, which returns it with ``intact`` false.
 """
@@ -28,20 +28,21 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import shared_dir, shuffle_width, small_batches, stage
 
-SEGMENT = 16 * 1024
+SEGMENT = 32 * 1024
 CHUNK = 4 * 1024
 REVISIT = 1000
 #: Pages in an archive file, at most.
 PAGES_PER_FILE = 2000
 VERSION = b"WARC/1.1\r\n"
 DATE = "2024-01-01T00:00:00Z"
-SEGMENTS = "origin string, page_id long, number long, kind string, digest string, refers string, total long, block binary"
-PAYLOADS = "origin string, page_id long, kind string, digest string, refers string, payload_bytes long, found_digest string, intact boolean, payload binary"
+SEGMENTS = "origin string, page_id long, number long, kind string, digest string, refers long, total long, block binary, payload_bytes long, found_digest string, intact boolean"
+PAYLOADS = "origin string, page_id long, kind string, digest string, refers long, payload_bytes long, found_digest string, intact boolean, payload binary"
 
 
 def frame(payload: bytes, chunk: int = CHUNK) -> bytes:
@@ -70,13 +71,13 @@ def record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     return VERSION + head.encode() + b"\r\n" + block
 
 
-def page_records(row_id: str, page_id: int, url: str, payload: bytes, digest: str, refers: str | None, segment: int = SEGMENT) -> list[bytes]:
+def page_records(record_id: str, page_id: int, url: str, payload: bytes, digest: str, refers_to: int | None, segment: int = SEGMENT) -> list[bytes]:
     """A page's records without the two line ends that close each."""
     url = re.sub(r"[\x00-\x20]", "%20", url or "") or "about:blank"
-    fields = [("WARC-Record-ID", f"<urn:page:{row_id}>"), ("WARC-Date", DATE), ("WARC-Target-URI", url), ("WARC-Payload-Digest", f"sha1:{digest}"), ("Page-ID", str(page_id))]
+    fields = [("WARC-Record-ID", f"<urn:page:{record_id}>"), ("WARC-Date", DATE), ("WARC-Target-URI", url), ("WARC-Payload-Digest", f"sha1:{digest}"), ("Page-ID", str(page_id))]
     status = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-    if refers is not None:
-        fields += [("WARC-Type", "revisit"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", f"<urn:page:{refers}>"), ("Refers-To-Page-ID", refers.split(".")[0])]
+    if refers_to is not None:
+        fields += [("WARC-Type", "revisit"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("Refers-To-Page-ID", str(refers_to))]
         return [record(fields, status + b"\r\n")]
     block = status + b"Transfer-Encoding: chunked\r\n\r\n" + frame(payload)
     pieces = [block[i : i + segment] for i in range(0, len(block), segment)]
@@ -85,7 +86,7 @@ def page_records(row_id: str, page_id: int, url: str, payload: bytes, digest: st
         return [record(fields, block)]
     out = [record([*fields, ("WARC-Segment-Number", "1")], pieces[0])]
     for k, piece in enumerate(pieces[1:], 2):
-        more = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:page:{row_id}:{k}>"), ("WARC-Date", DATE), ("WARC-Target-URI", url), ("WARC-Segment-Origin-ID", f"<urn:page:{row_id}>"), ("WARC-Segment-Number", str(k))]
+        more = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:page:{record_id}:{k}>"), ("WARC-Date", DATE), ("WARC-Target-URI", url), ("WARC-Segment-Origin-ID", f"<urn:page:{record_id}>"), ("WARC-Segment-Number", str(k))]
         out.append(record(more + [("WARC-Segment-Total-Length", str(len(block)))] * (k == len(pieces)), piece))
     return out
 
@@ -110,28 +111,31 @@ def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def with_digests(pages: DataFrame) -> DataFrame:
-    """Pages with row_id, payload, digest, and the page that each one revisits (refers_to)."""
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
-    rows = rows.withColumn("digest", F.sha1("payload")).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
-    rows = rows.withColumn("row_id", F.concat_ws(".", F.coalesce(F.col("page_id").cast("string"), F.lit("null")), F.monotonically_increasing_id().cast("string")))
-    # The row number follows the deal of rows to tasks, so the rows are fixed before their keys are compared.
-    rows = stage(rows, "warc-pages")
-    groups = rows.where(F.col("payload_bytes") >= REVISIT).groupBy("digest", "payload_bytes").agg(F.max(F.struct("page_id", "row_id")).alias("response"), F.count("*").alias("n")).where("n > 1")
-    return rows.join(groups.drop("n"), ["digest", "payload_bytes"], "left").withColumn("refers", F.when(F.col("response.row_id") != F.col("row_id"), F.col("response.row_id"))).drop("response")
+    """page_id, url, payload, digest, and the page that each one revisits (refers_to).
+
+    The pages are read twice: once for the digests of repeated payloads, once for the payloads.
+    """
+    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload")).withColumn("digest", F.sha1("payload"))
+    long = F.octet_length("payload") >= REVISIT
+    groups = rows.where(long).groupBy("digest").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1").drop("n")
+    other = long & (F.col("response") != F.coalesce("page_id", F.lit(-1)))
+    return rows.join(groups, "digest", "left").withColumn("refers_to", F.when(other, F.col("response"))).drop("response")
 
 
 def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    part, n = TaskContext.get().partitionId(), 0
     for batch in batches:
         out = []
         for r in batch.to_pylist():
-            out.append(b"\r\n\r\n".join(page_records(r["row_id"], r["page_id"], r["url"], r["payload"], r["digest"], r["refers"])))
+            n += 1
+            out.append(b"\r\n\r\n".join(page_records(f"{r['page_id']}.{part}.{n}", r["page_id"], r["url"], r["payload"], r["digest"], r["refers_to"])))
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
 
 def write_warc(pages: DataFrame, path: str) -> None:
     """Writes the archives of ``pages`` to the folder ``path``."""
     small_batches(pages.sparkSession, 500)
-    rows = with_digests(pages).select("row_id", "page_id", "url", "payload", "digest", "refers")
+    rows = with_digests(pages)
     records = rows.mapInArrow(_write, "value binary").select(F.col("value").cast("string").alias("value"))
     # A record is closed by two line ends, here the text writer's line separator.
     records.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", PAGES_PER_FILE).text(path)
@@ -147,21 +151,29 @@ def _batch(rows: list[tuple], names: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for content in batch.column("content"):
-            data = zlib.decompress(content.as_py(), 47) if content.as_py()[:2] == b"\x1f\x8b" else content.as_py()
-            rows, size = [], 0
-            for f, block in parse_records(data):
-                origin = f.get("warc-segment-origin-id") or f["warc-record-id"]
-                digest = f.get("warc-payload-digest", "").removeprefix("sha1:") or None
-                rows.append((origin, _whole(f.get("page-id")), _whole(f.get("warc-segment-number")) or 0, f["warc-type"], digest, f.get("warc-refers-to"), _whole(f.get("warc-segment-total-length")), block))
-                size += len(block)
-                if size > 8 << 20:
+def _parser(keep_payload: bool):
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                data = content.as_py()
+                data = zlib.decompress(data, 31) if data[:2] == b"\x1f\x8b" else data
+                rows, size = [], 0
+                for f, block in parse_records(data):
+                    s = {"origin": f.get("warc-segment-origin-id") or f["warc-record-id"], "page_id": _whole(f.get("page-id")), "number": _whole(f.get("warc-segment-number")) or 0, "kind": f["warc-type"], "digest": f.get("warc-payload-digest", "").removeprefix("sha1:") or None, "refers": _whole(f.get("refers-to-page-id")), "total": _whole(f.get("warc-segment-total-length")), "block": block}
+                    found = (None, None, None)
+                    if not s["number"]:  # whole records are decoded here; only segments travel
+                        payload, intact = join_segments([s])
+                        found = (len(payload), hashlib.sha1(payload).hexdigest(), intact)
+                        s["block"] = payload if keep_payload else None
+                    rows.append((*s.values(), *found))
+                    size += len(s["block"] or b"")
+                    if size > 8 << 20 or len(rows) >= 5000:
+                        yield _batch(rows, SEGMENTS)
+                        rows, size = [], 0
+                if rows:
                     yield _batch(rows, SEGMENTS)
-                    rows, size = [], 0
-            if rows:
-                yield _batch(rows, SEGMENTS)
+
+    return parse
 
 
 def join_segments(segments: list[dict]) -> tuple[bytes, bool]:
@@ -184,10 +196,11 @@ def join_segments(segments: list[dict]) -> tuple[bytes, bool]:
 def _reassemble(keep_payload: bool):
     def reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(segments: list[dict]) -> tuple:
-            payload, intact = join_segments(segments)
             f = segments[0]
-            found = hashlib.sha1(payload).hexdigest() if f["kind"] == "response" else None
-            return f["origin"], f["page_id"], f["kind"], f["digest"], f["refers"], len(payload), found, intact, payload if keep_payload else None
+            if f["intact"] is not None:
+                return f["origin"], f["page_id"], f["kind"], f["digest"], f["refers"], f["payload_bytes"], f["found_digest"], f["intact"] and len(segments) == 1, f["block"]
+            payload, intact = join_segments(segments)
+            return f["origin"], f["page_id"], f["kind"], f["digest"], f["refers"], len(payload), hashlib.sha1(payload).hexdigest(), intact, payload if keep_payload else None
 
         waiting: list[dict] = []  # segments of one record: rows come sorted by origin and number
         for batch in batches:
@@ -209,14 +222,15 @@ def read_warc(spark: SparkSession, path: str, keep_payload: bool = True, strict:
     """One row per record of the archives in ``path``: origin (its id), page_id, kind, payload_bytes,
     payload_digest, refers_to (a revisit's page), intact, payload (null for revisits)."""
     small_batches(spark, 500)
-    segments = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content").mapInArrow(_parse, SEGMENTS)
+    segments = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content").mapInArrow(_parser(keep_payload), SEGMENTS)
     dealt = segments.repartition(shuffle_width(spark), "origin").sortWithinPartitions("origin", "number")
     records = stage(dealt.mapInArrow(_reassemble(keep_payload), PAYLOADS), "warc-records")
     if strict:
         records = records.withColumn("intact", F.when(F.col("intact"), True).otherwise(F.raise_error(F.concat(F.lit("damaged record "), F.col("origin"))).cast("boolean")))
-    targets = records.where("kind = 'response'").select(F.col("origin").alias("refers"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("full_bytes"), F.col("found_digest").alias("full_digest"))
-    revisits = records.where("kind = 'revisit'").join(targets, "refers", "left")
-    revisits = revisits.select("origin", "page_id", "kind", F.col("full_bytes").alias("payload_bytes"), F.coalesce("full_digest", "digest").alias("payload_digest"), "refers_to", (F.col("intact") & F.col("digest").eqNullSafe(F.col("full_digest"))).alias("intact"), F.lit(None).cast("binary").alias("payload"))
+    # One row per stored payload and page: repeats of a row were stored each.
+    targets = records.where("kind = 'response'").groupBy(F.col("page_id").alias("refers"), F.col("found_digest").alias("digest")).agg(F.max("payload_bytes").alias("full_bytes"))
+    revisits = records.where("kind = 'revisit'").drop("payload_bytes").join(targets, ["refers", "digest"], "left")
+    revisits = revisits.select("origin", "page_id", "kind", F.col("full_bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("refers").alias("refers_to"), (F.col("intact") & F.col("full_bytes").isNotNull()).alias("intact"), F.lit(None).cast("binary").alias("payload"))
     rest = records.where("kind != 'revisit'").select("origin", "page_id", "kind", "payload_bytes", F.col("found_digest").alias("payload_digest"), F.lit(None).cast("long").alias("refers_to"), "intact", "payload")
     return rest.unionByName(revisits)
 
