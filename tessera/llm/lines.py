@@ -123,8 +123,9 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     lines and runs went (lines_removed, runs_removed)."""
     small_batches(docs.sparkSession)
     docs = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
-    starts = stage(repeated_lines(docs, min_lines), "line-runs").withColumnsRenamed({"doc_id": "__doc", "copy": "__copy", "starts": "__starts"})
+    starts = stage(repeated_lines(docs, min_lines), "line-runs").select(F.col("doc_id").alias("__doc"), F.col("copy").alias("__copy"), F.col("starts").alias("__starts"))
     # the same plan at every size: texts are dealt once, never held against a broadcast
-    joined = docs.join(starts.hint("merge"), docs["doc_id"].eqNullSafe(starts["__doc"]) & (F.xxhash64(docs["text"]) == starts["__copy"]), "left").drop("__doc", "__copy")
+    joined = docs.join(starts.hint("merge"), docs["doc_id"].eqNullSafe(starts["__doc"]) & (F.xxhash64(docs["text"]) == starts["__copy"]), "left")
+    joined = joined.select(*[docs[c] for c in docs.columns if c != "__starts"], starts["__starts"])
     schema = ", ".join([f"`{n}` {t}" for n, t in docs.dtypes if n not in ("text", "lines_removed", "runs_removed")] + ["text string", "lines_removed long", "runs_removed long"])
     return joined.mapInArrow(_remove(min_lines), schema)
