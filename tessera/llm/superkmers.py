@@ -3,7 +3,9 @@
 A window is ``WINDOW`` consecutive words of one document. Its minimiser is the smallest hash of its
 ``MINIMISER``-word substrings; consecutive windows that share it travel as one packed string to the
 bucket of that minimiser, so equal windows always meet. A bucket sorts its windows and counts them
-exactly: windows are ordered by a hash, and equal hashes are compared word by word.
+exactly: windows are ordered by a hash, and equal hashes are compared word by word. Minimisers that
+stand in one document alone can't belong to such a window; a first exchange, of 32 bits each, tells
+the blocks which of theirs stand in several, and only those strings travel.
 
 Documents lie in compressed blocks. A block sends every distinct packed string once, with its smallest
 document (the block itself knows the fate of the others), grouped by bucket and compressed. Buckets
@@ -32,11 +34,14 @@ from .common import block_table, by_key, mixed, open_block, real_id, record_batc
 
 WINDOW = 13
 MINIMISER = 5
-#: Text bytes behind a bucket, about a third of what it gets.
-BUCKET_BYTES = 3 << 20
+#: Text bytes in a block, and behind a bucket.
+BLOCK = 5 << 20
+BUCKET_BYTES = 8 << 20
 LONGEST = 32  # windows in a packed string: the bits of a mask
 CACHE = 500_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
+SEEN = "bucket long, block long, marks binary, least binary, twice binary"
+FOUND = "block long, bucket long, marks binary"
 SENT = "bucket long, block long, docs binary, tags binary, windows binary, strings binary"
 VERDICTS = "block long, tags binary, masks binary"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary"
@@ -63,7 +68,7 @@ class Codes(dict):
 class Strings:
     """The packed strings of a block; the same for the same block whenever it is made."""
 
-    def __init__(self, row: dict, hashes: Hashes):
+    def __init__(self, row: dict, hashes: Hashes, pack: bool = True):
         self.ids, ends, data = open_block(row["ids"], row["lengths"], row["texts"])
         self.words: list[bytes] = []
         counts, begin = [], 0
@@ -97,6 +102,8 @@ class Strings:
         self.windows = np.diff(np.append(at, len(key)))
         self.starts, self.keys = self.rows[at], key[at]
         self.doc = doc[self.starts]
+        if not pack:
+            return
         line = b" ".join(self.words)
         offset = np.zeros(n + 1, np.int64)
         np.cumsum(np.fromiter(map(len, self.words), np.int64, n) + 1, out=offset[1:])
@@ -106,21 +113,78 @@ class Strings:
         self.first = np.fromiter((seen.setdefault(s, k) for k, s in enumerate(self.strings)), np.int64, len(self.strings))
 
 
+def marks(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each minimiser, and 32 bits of it: they tell those of one bucket apart nearly always,
+    and where they don't, a string travels for nothing."""
+    return (keys % np.uint64(buckets)).astype(np.int64), (keys // np.uint64(buckets)).astype(np.uint32)
+
+
+def _by_bucket(goal: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    order = np.argsort(goal, kind="stable")
+    cuts = np.flatnonzero(np.diff(goal[order], prepend=-1)).tolist() + [len(order)]
+    return order, list(zip(cuts, cuts[1:]))
+
+
+def _seen(buckets: int):
+    """The block's minimisers with the first and the last document that each stands in."""
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for batch in batches:
+            for row in batch.to_pylist():
+                s = Strings(row, hashes, pack=False)
+                order = np.argsort(s.keys, kind="stable")  # documents rise within a key
+                key, doc = s.keys[order], s.ids[s.doc[order]]
+                first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+                last = np.append(first[1:] - 1, len(key) - 1) if len(key) else first
+                goal, mark = marks(key[first], buckets)
+                least, twice = doc[first], doc[first] != doc[last]
+                order, cuts = _by_bucket(goal)
+                rows = [(int(goal[order[a]]), row["block"], mark[order[a:b]].tobytes(), zstandard.compress(least[order[a:b]].tobytes(), 1), np.packbits(twice[order[a:b]]).tobytes()) for a, b in cuts]
+                if rows:
+                    yield record_batch(rows, SEEN)
+
+    return seen
+
+
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Answers each block with those of its minimisers that stand in several documents."""
+    for bucket, rows in by_key(batches, "bucket"):
+        mark = [np.frombuffer(r["marks"], np.uint32) for r in rows]
+        least = np.concatenate([np.frombuffer(zstandard.decompress(r["least"]), np.int64) for r in rows])
+        twice = np.concatenate([np.unpackbits(np.frombuffer(r["twice"], np.uint8), count=len(m)) for r, m in zip(rows, mark)]).astype(bool)
+        values, place = np.unique(np.concatenate(mark), return_inverse=True)
+        low = np.full(len(values), np.iinfo(np.int64).max)
+        np.minimum.at(low, place, least)
+        several = np.zeros(len(values), bool)
+        several[place[twice | (least != low[place])]] = True
+        out, k = [], 0
+        for r, m in zip(rows, mark):
+            hit = several[place[k : k + len(m)]]
+            k += len(m)
+            if hit.any():
+                out.append((r["block"], bucket, m[hit].tobytes()))
+        if out:
+            yield record_batch(out, FOUND)
+
+
 def _send(buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in batches:
             for row in batch.to_pylist():
+                if not row["found"]:
+                    continue
                 s = Strings(row, hashes)
-                own = np.flatnonzero(s.first == np.arange(len(s.strings)))  # documents rise: the first has the smallest id
-                goal = (s.keys[own] % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(goal, kind="stable")
-                goal, own = goal[order], own[order]
-                cuts = np.flatnonzero(np.diff(goal, prepend=-1)).tolist() + [len(own)]
+                goal, mark = marks(s.keys, buckets)
+                wanted = np.concatenate([np.frombuffer(f["marks"], np.uint32).astype(np.int64) | f["bucket"] << 32 for f in row["found"]])
+                # documents rise in a block: the first of equal strings has the smallest id
+                own = np.flatnonzero((s.first == np.arange(len(s.strings))) & np.isin(mark.astype(np.int64) | goal << 32, wanted))
+                order, cuts = _by_bucket(goal[own])
                 rows = []
-                for a, b in zip(cuts, cuts[1:]):
-                    k = own[a:b]
-                    rows.append((int(goal[a]), row["block"], s.ids[s.doc[k]].tobytes(), k.astype(np.uint32).tobytes(), s.windows[k].astype(np.uint8).tobytes(), zstandard.compress(b"\n".join([s.strings[i] for i in k.tolist()]), 3)))
+                for a, b in cuts:
+                    k = own[order[a:b]]
+                    rows.append((int(goal[k[0]]), row["block"], zstandard.compress(s.ids[s.doc[k]].tobytes(), 1), k.astype(np.uint32).tobytes(), s.windows[k].astype(np.uint8).tobytes(), zstandard.compress(b"\n".join([s.strings[i] for i in k.tolist()]), 3)))
                 if rows:
                     yield record_batch(rows, SENT)
 
@@ -167,7 +231,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in rows:
             words += zstandard.decompress(r["strings"]).split()
         windows = np.concatenate([np.frombuffer(r["windows"], np.uint8) for r in rows]).astype(np.int64)
-        docs = np.concatenate([np.frombuffer(r["docs"], np.int64) for r in rows])
+        docs = np.concatenate([np.frombuffer(zstandard.decompress(r["docs"]), np.int64) for r in rows])
         gone = removed_windows(words, windows, docs)
         first = np.cumsum(windows) - windows
         bit = np.arange(len(gone)) - np.repeat(first, windows)
@@ -219,12 +283,15 @@ def _remove(keep_text: bool):
 def remove_repeated_windows(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and, if asked for, the kept words (kept)."""
     spark = docs.sparkSession
-    blocks = block_table(docs)
+    blocks = block_table(docs, BLOCK)
     # one number, from one row per block
     raw = blocks.agg(F.sum("raw_bytes")).first()[0] or 0
     buckets = max(1, math.ceil(raw / BUCKET_BYTES))
-    sent = blocks.repartition(max(shuffle_width(spark), 1), "block").mapInArrow(_send(buckets), SENT)
-    verdicts = stage(stream_by(sent, "bucket", min(buckets, 4 * shuffle_width(spark)), _judge, VERDICTS), "window-verdicts")
-    # at most one row per bucket a block sent to
+    parts = min(buckets, 2 * shuffle_width(spark))
+    # what comes back to a block is bounded by what it sent
+    found = stream_by(blocks.mapInArrow(_seen(buckets), SEEN), "bucket", parts, _found, FOUND)
+    found = found.groupBy("block").agg(F.collect_list(F.struct("bucket", "marks")).alias("found"))
+    sent = blocks.join(found.hint("merge"), "block").mapInArrow(_send(buckets), SENT)
+    verdicts = stage(stream_by(sent, "bucket", parts, _judge, VERDICTS), "window-verdicts")
     answers = verdicts.groupBy("block").agg(F.collect_list(F.struct("tags", "masks")).alias("verdicts"))
     return blocks.join(answers.hint("merge"), "block", "left").mapInArrow(_remove(keep_text), RESULT)
