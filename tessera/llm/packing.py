@@ -20,6 +20,7 @@ from __future__ import annotations
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,9 @@ from .common import shuffle_width, small_batches
 WINDOW = 4096
 END = 2
 BLOCK = 64 * WINDOW
-STRIDE = 64
+STRIDE = 32
 #: Penalties in tokens of padding for cutting at a sentence's end, and inside a sentence.
-SENTENCE, TORN = 8, 96
+SENTENCE, TORN = 4, 24
 #: Encoded words that a task remembers.
 CACHE = 400_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -43,7 +44,9 @@ class Words(dict):
     """Token ids of words as bytes, encoded when first met.
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its
-    words, one after the other.
+    words, one after the other. It also lowers case and splits letters from what follows them: an
+    ASCII word's ids are those of its lower-case form, and a last full stop or comma after a letter
+    is a token of its own.
     """
 
     def __init__(self, path: str):
@@ -52,17 +55,40 @@ class Words(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+    def learn(self, words: set[bytes]) -> None:
+        """Encodes the words that are new, all at once."""
         if len(self) >= CACHE:
             self.clear()
-        self[word] = ids
-        return ids
+        parts: dict[bytes, list[bytes]] = {}
+        plain: dict[bytes, None] = {}
+        for w in words.difference(self):
+            x = w.lower() if w.isascii() else w
+            own = [x[:-1], x[-1:]] if x[-1:] in (b".", b",") and x[-2:-1].isalpha() else [x]
+            parts[w] = own
+            plain.update(dict.fromkeys(own))
+        new = [w for w in plain if w not in self]
+        for k in range(0, len(new), 20_000):
+            self._encode(new[k : k + 20_000])
+        for w, own in parts.items():
+            if w not in self:
+                self[w] = b"".join(map(self.__getitem__, own))
+
+    def _encode(self, words: list[bytes]) -> None:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        encoded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+        ids = np.array(encoded.ids, "<u4")
+        at = np.fromiter((o[0] for o in encoded.offsets), np.int64, len(ids))
+        cuts = np.searchsorted(at, begins).tolist()
+        data = ids.tobytes()
+        self.update((w, data[4 * a : 4 * b]) for w, a, b in zip(words, cuts, cuts[1:]))
 
     def sentence_ends(self) -> np.ndarray:
-        """Ids of the tokens that end in a full stop, question or exclamation mark."""
+        """For every id whether its token ends in a full stop, question or exclamation mark."""
         vocabulary = self.tokenizer.get_vocab()
-        return np.array(sorted(i for t, i in vocabulary.items() if t.removesuffix("</w>")[-1:] in (".", "!", "?")), np.uint32)
+        marks = np.zeros(max(vocabulary.values()) + 1, bool)
+        marks[[i for t, i in vocabulary.items() if t.removesuffix("</w>")[-1:] in (".", "!", "?")]] = True
+        return marks
 
 
 def cut_points(ends: np.ndarray, sentences: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +106,8 @@ def cut_points(ends: np.ndarray, sentences: np.ndarray, stride: int = STRIDE) ->
 
 
 def best_cuts(places: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> list[int]:
-    """Window ends with the least padding plus penalties; the last window ends at the last place.
+    """Window ends with the least padding plus penalties; less than a window is left behind them,
+    which costs nothing here: it goes on in the next block, or is the end.
 
     ``places`` start at 0 and leave no gap above ``window``.
     """
@@ -100,7 +127,8 @@ def best_cuts(places: np.ndarray, penalty: np.ndarray, window: int = WINDOW) ->
         while queue and queue[-1][0] >= key:
             queue.pop()
         queue.append((key, here, i))
-    cuts, i = [], n - 1
+    near = range(int(np.searchsorted(places, at[-1] - window)), n)
+    cuts, i = [], min(near, key=lambda i: (cost[i], -i))
     while i > 0:
         cuts.append(at[i])
         i = back[i]
@@ -133,13 +161,11 @@ class Block:
         """Windows as lists of (doc_id, start, ids, doc_tokens, offset)."""
         ends = np.cumsum([len(d[3]) for d in self.docs])
         stream = np.concatenate([d[3] for d in self.docs])
-        sentences = np.flatnonzero(np.isin(stream, self.marks)) + 1
+        sentences = np.flatnonzero(self.marks[stream]) + 1
         cuts = best_cuts(*cut_points(ends, sentences))
-        begin = cuts[-2] if len(cuts) > 1 else 0
-        if last and not (length := len(stream) - begin) == WINDOW:
-            cuts = cuts[:-1] + [begin + x for x in tail_cuts(length)]
-        elif not last and len(cuts) > 1:
-            cuts = cuts[:-1]
+        if last:
+            begin = cuts[-1] if cuts else 0
+            cuts += [begin + x for x in tail_cuts(len(stream) - begin)]
         k, place = 0, 0
         for cut in cuts:
             pieces, offset = [], 0
@@ -169,8 +195,10 @@ def packer(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
                 block = Block(words.sentence_ends())
                 serial = batch.column("part")[0].as_py() << 33 if batch.num_rows else 0
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
-                ids = np.frombuffer(b"".join(map(words.__getitem__, (text or b"").split())) + END.to_bytes(4, "little"), "<u4")
+            split = [(t or b"").split() for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            words.learn(set(chain.from_iterable(split)))
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), split):
+                ids = np.frombuffer(b"".join(map(words.__getitem__, own)) + END.to_bytes(4, "little"), "<u4")
                 block.add(doc_id, ids)
                 if block.size >= BLOCK:
                     for window in block.cut(False):

@@ -87,4 +87,23 @@ ORACLES: dict[str, str] = {
                case when d.text is not null then strlen(coalesce(kept, ''))::bigint end as kept_bytes
         from documents d left join r using (doc_id) left join k using (doc_id)
     """,
+    "op4_super_kmers": """
+        with d as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+        v as (select doc_id, pos, array_to_string(list_slice(w, pos, pos + 12), ' ') as win from (select doc_id, w, unnest(range(1, len(w) - 11)) as pos from d)),
+        f as (select doc_id, pos, min(doc_id) over (partition by win) as first from v),
+        g as (select distinct doc_id, pos + k as pos from f, range(13) r(k) where first < doc_id),
+        w as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as pos from d),
+        k as (select w.doc_id, count(g.pos)::bigint as n_removed, string_agg(word, ' ' order by w.pos) filter (g.pos is null) as kept from w left join g using (doc_id, pos) group by w.doc_id)
+        select d.doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join k using (doc_id)
+    """,
+    "op9_signature_trees": """
+        with recursive d as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+        s as (select distinct doc_id, unnest(case when len(w) >= 3 then list_transform(range(1, len(w) - 1), lambda i: array_to_string(list_slice(w, i, i + 2), ' ')) else [array_to_string(w, ' ')] end) as g from d where len(w) > 0),
+        n as (select doc_id, count(*) as n from s group by 1),
+        p as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+        l as (select x, y from p join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * c >= 90 * (nx.n + ny.n - c)),
+        e as (select x, y from l union all select y, x from l),
+        r as (select doc_id as id, doc_id as root from d union select e.y, r.root from r join e on r.id = e.x)
+        select d.doc_id, coalesce(n, 0)::bigint as n_shingles, min(root) as component_id from d left join n using (doc_id) join r on r.id = d.doc_id group by all
+    """,
 }

@@ -38,8 +38,9 @@ ANCHOR = 32
 LONGEST = 1024  # windows in a string
 #: Text bytes behind a bucket of minimisers.
 BUCKET_BYTES = 4 << 20
-#: Symbols in one index; a group of strings of one minimiser may exceed it.
-INDEX = 3 << 19
+#: Symbols in one index: below 2^20, so that two ranks and a place fit one integer. A group of strings
+#: of one minimiser may exceed it.
+INDEX = 900_000
 ANCHORS = "bucket long, block long, hashes binary, counts binary"
 FOUND = "block long, hashes binary"
 SENT = "bucket long, block long, keys binary, tags binary, times binary, lengths binary, strings binary"
@@ -198,22 +199,22 @@ class RunLengthIndex:
         short = stop < 4
         depth = 4
         self.levels: list[tuple[int, np.ndarray]] = []
-        rank, order = self._rank(key, bits + 0, place, 36, short)
+        rank, order, groups = self._rank(key, bits, place, 36, short)
         while True:
             self.levels.append((depth, rank.astype(np.int32)))
-            if rank[order[-1]] == n - 1 and len(np.unique(rank)) == n:
+            if groups == n:
                 break
             second = np.zeros(n, np.int64)
             second[: n - depth] = rank[depth:] + 1
             ended = stop < depth
             second[ended] = 0
-            rank, order = self._rank(rank << bits + 1 | second, bits, place, 2 * bits + 1, None)
+            rank, order, groups = self._rank(rank << bits + 1 | second, bits, place, 2 * bits + 1, None)
             depth *= 2
         self.suffixes = order
 
     @staticmethod
-    def _rank(key: np.ndarray, bits: int, place: np.ndarray, width: int, unique: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        """Rank of each suffix (the rows with smaller keys), and the order. Keys marked unique differ from all."""
+    def _rank(key: np.ndarray, bits: int, place: np.ndarray, width: int, unique: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, int]:
+        """Rank of each suffix (the rows with smaller keys), the order, and the number of ranks. Keys marked unique differ from all."""
         n = len(key)
         if width + bits <= 63:  # the place rides along: a plain sort
             packed = np.sort(key << bits | place)
@@ -228,7 +229,7 @@ class RunLengthIndex:
             new[1:] |= unique[order[:-1]]
         rank = np.empty(n, np.int64)
         rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        return rank, order
+        return rank, order, int(np.count_nonzero(new))
 
     def _common_prefix(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Longest common prefixes of pairs of suffixes, from the ranks at doubling depths."""
@@ -296,7 +297,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch.append(k)
             size += len(strings[k]) + 1
             last = x + 1 == len(by_minimiser)
-            if last or size >= INDEX and keys[by_minimiser[x + 1]] != keys[k]:
+            if last or size >= INDEX - 64 * LENGTH and keys[by_minimiser[x + 1]] != keys[k]:
                 for i, hit in zip(batch, repeated_windows([strings[i] for i in batch], np.array([times[i] for i in batch]))):
                     edges = np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8))
                     starts[i], ends[i] = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)

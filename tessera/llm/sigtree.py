@@ -1,9 +1,9 @@
 """N-gram Jaccard join by signature trees, and the groups of documents that it links.
 
 A document's set is its distinct word shingles, as 64-bit hashes. Equal sets become one class first.
-Two sets of similarity ``T`` or more share one of their rarest ``(1 - T)`` share of shingles (a global
-order: shingles that are frequent in the corpus last), so classes that share such a shingle and whose
-sizes fit are put in one cell; a cell is a connected part of that relation and no link leaves it.
+Two sets of similarity ``T`` or more share one of the first ``(1 - T)`` share of their shingles in any
+order common to all; here shingles of rare words come first. Classes that share such a shingle and
+whose sizes fit are put in one cell; a cell is a connected part of that relation and no link leaves it.
 
 Within a cell a signature tree finds the links: leaves hold the token bitmaps and sizes of documents,
 inner nodes the OR of their bitmaps and the range of their sizes. A dual traversal drops pairs of
@@ -12,8 +12,8 @@ on the full sets, unless they are connected already, as only the groups are aske
 are dealt over pages: every page first meets the cell's first page, and only cells that this
 leaves in several groups compare their other pages.
 
-The order of shingles is fitted on shingles that are frequent within a batch of documents, at most
-``FREQUENT`` of them; it decides on speed alone, never on results.
+Word frequencies are those of words that are frequent within a batch of documents, at most
+``FREQUENT`` of them; they decide on speed alone, never on results.
 
 Defined results: words are runs of other characters than ASCII blanks, A-Z in lower case; texts with
 fewer words than a shingle are one shingle of all their words; null or wordless texts have none
@@ -42,63 +42,79 @@ LINKS = "a long, b long"
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(text: bytes, words_each: int, hashes: Hashes) -> np.ndarray:
-    """Sorted hashes of the distinct shingles."""
+def word_hashes(text: bytes, hashes: Hashes) -> np.ndarray:
     words = text.lower().split()  # of bytes: lowers A-Z only
-    n = len(words)
+    return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+
+
+def shingle_row(h: np.ndarray, words_each: int) -> np.ndarray:
+    """Hashes of all shingles in the order of the text."""
+    n = len(h)
     if not n:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
+        return h
     k = min(n, words_each)
     out = np.full(n - k + 1, k, np.uint64)
     for i in range(k):
         out = (out ^ h[i : n - k + 1 + i]) * PRIME
         out ^= out >> np.uint64(29)
-    return np.unique(mixed(out))
+    return mixed(out)
+
+
+def shingles(text: bytes, words_each: int, hashes: Hashes) -> np.ndarray:
+    """Sorted hashes of the distinct shingles."""
+    return np.unique(shingle_row(word_hashes(text, hashes), words_each))
 
 
 def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def _frequent(words_each: int):
-    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
-        for batch in batches:
-            sets = [shingles(t or b"", words_each, hashes) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            values, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64), np.empty(0, int))
-            often = counts >= 4
-            yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], ["shingle", "n"])
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = Hashes()
+    for batch in batches:
+        rows = [word_hashes(t or b"", hashes) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        values, counts = np.unique(np.concatenate(rows), return_counts=True) if rows else (np.empty(0, np.uint64), np.empty(0, int))
+        often = counts >= 4
+        yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], ["word", "n"])
+
 
-    return frequent
+class Weights:
+    """Logarithms of word counts, 0 for words that aren't frequent."""
 
+    def __init__(self, words: np.ndarray, counts: np.ndarray):
+        order = np.argsort(words)
+        self.words = words[order]
+        self.weights = np.round(8 * np.log2(counts[order] + 1)).astype(np.int64)
+        self.low = np.zeros(1 << 20, bool)
+        self.low[(self.words & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
 
-def _features(words_each: int, percent: int, common: np.ndarray):
-    """``common``: frequent shingles, the least frequent first."""
+    def of(self, h: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(h), np.int64)
+        maybe = np.flatnonzero(self.low[(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
+        if len(maybe):
+            at = np.minimum(np.searchsorted(self.words, h[maybe]), len(self.words) - 1)
+            out[maybe] = np.where(self.words[at] == h[maybe], self.weights[at], 0)
+        return out
 
+
+def _features(words_each: int, percent: int, words: np.ndarray, counts: np.ndarray):
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
-        order = np.argsort(common)
-        values = common[order]
-        low = np.zeros(1 << 20, bool)
-        low[(common & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        hashes, weights = Hashes(), Weights(words, counts)
         for batch in batches:
             n, s1, s2, prefixes = [], [], [], []
             for t in batch.column("text").cast(pa.binary()).to_pylist():
-                u = shingles(t or b"", words_each, hashes)
+                h = word_hashes(t or b"", hashes)
+                u, at = np.unique(shingle_row(h, words_each), return_index=True)
                 n.append(len(u))
                 s1.append(int(u.sum(dtype=np.uint64).view(np.int64)))
                 s2.append(int(mixed(u ^ PRIME).sum(dtype=np.uint64).view(np.int64)))
-                p = prefix_length(len(u), percent) if len(u) else 0
-                maybe = np.flatnonzero(low[(u & np.uint64((1 << 20) - 1)).astype(np.int64)])
-                at = np.searchsorted(values, u[maybe]) if len(values) else np.empty(0, np.int64)
-                hit = values[np.minimum(at, len(values) - 1)] == u[maybe] if len(values) else np.empty(0, bool)
-                rare = np.delete(u, maybe[hit]) if len(values) else u
-                first = rare[:p]
-                if len(first) < p:
-                    ranks = np.sort(order[at[hit]])[: p - len(first)]
-                    first = np.concatenate([first, common[ranks]])
-                prefixes.append(first.view(np.int64))
+                if not len(u):
+                    prefixes.append(np.empty(0, np.int64))
+                    continue
+                sums = np.cumsum(np.append(0, weights.of(h)))
+                k = min(len(h), words_each)
+                order = np.argsort((sums[k:] - sums[:-k])[at], kind="stable")  # ties in the order of the hashes
+                prefixes.append(u[order[: prefix_length(len(u), percent)]].view(np.int64))
             lengths = np.cumsum([0] + [len(x) for x in prefixes])
             flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))], ["doc_id", "n_shingles", "s1", "s2", "prefix"])
@@ -158,10 +174,11 @@ class SignatureTree:
         self.sets = [sets[i] for i in self.order]
         size = np.array([len(s) for s in self.sets], np.int64)
         bits = 1 << max(6, min(15, int(2 * size.max(initial=1)).bit_length()))
-        maps = np.zeros((len(sets), bits), bool)
+        maps = np.zeros((len(sets), bits // 64), np.uint64)
         for row, s in zip(maps, self.sets):
-            row[(s & np.uint64(bits - 1)).astype(np.int64)] = True
-        maps = np.packbits(maps, axis=1).view(np.uint64)
+            own = np.zeros(bits, bool)
+            own[(s & np.uint64(bits - 1)).astype(np.int64)] = True
+            row[:] = np.packbits(own).view(np.uint64)
         # what hashing into the bitmap can hide: the tokens of a set beyond its bits
         spare = size - np.bitwise_count(maps).sum(1).astype(np.int64)
         self.levels = [(maps, size, size, spare)]
@@ -228,10 +245,11 @@ def jaccard_groups(docs: DataFrame, words_each: int = 3, percent: int = 90) -> D
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    counts = docs.select("text").mapInArrow(_frequent(words_each), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").mapInArrow(_frequent, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     # at most FREQUENT rows, whatever the corpus
-    common = np.array([r[0] for r in counts.orderBy(F.desc("n"), "shingle").limit(FREQUENT).collect()][::-1], np.int64).view(np.uint64)
-    features = stage(docs.mapInArrow(_features(words_each, percent, common), FEATURES), "shingle-features")
+    common = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    words, often = np.array([r[0] for r in common], np.int64).view(np.uint64), np.array([r[1] for r in common], np.int64)
+    features = stage(docs.mapInArrow(_features(words_each, percent, words, often), FEATURES), "shingle-features")
     key = ["n_shingles", "s1", "s2"]
     classes = stage(features.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")), "shingle-classes")
 
