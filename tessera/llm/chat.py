@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import settle, stage
 
 BLOCK = 64  # turn numbers in a block
 PART = 64  # turns in a rendered row
@@ -69,8 +69,9 @@ def maximal(turns: DataFrame) -> DataFrame:
 
 def collapse_and_render(turns: DataFrame) -> DataFrame:
     """(conv_id, part, turns, text): maximal conversations in the chat template, ``PART`` turns a row."""
-    rows = stage(numbered_turns(turns), "ordered-turns")
-    kept = maximal(rows).withColumnRenamed("conv", "c")
+    spark = turns.sparkSession
+    rows = settle(spark, lambda: numbered_turns(turns), "ordered-turns")
+    kept = settle(spark, lambda: maximal(rows), "maximal").withColumnRenamed("conv", "c")
     rows = rows.join(kept, rows["conv"].eqNullSafe(kept["c"]))
     said = F.concat(F.lit(OPEN), F.col("role"), F.lit("\n"), F.col("text"), F.lit(CLOSE)).alias("said")
     parts = rows.select("conv", "ordinal", "turns", F.floor((F.col("ordinal") - 1) / PART).cast("long").alias("part"), said).groupBy("conv", "part", "turns").agg(F.array_sort(F.collect_list(F.struct("ordinal", "said"))).alias("all"))

@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 BLANKS = "\\x20\\x09-\\x0D"
 WORD = f"[^{BLANKS}]+"
 
+#: Spark's setting that removes a query's shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Largest table, in rows, that ``attach`` broadcasts.
 BROADCAST_ROWS = 50_000
 
@@ -37,15 +40,48 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Paths staged inside the innermost ``settle``.
+_staged: list[list[str]] = []
+
+
 def stage(df: DataFrame, tag: str) -> DataFrame:
     """Writes a table to the shared folder and reads it again: later steps neither repeat the
-    work nor depend on the executors that did it."""
+    work nor depend on the executors that did it. Shuffle files of the write go with its end."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    if _staged:
+        _staged[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def settle(spark: SparkSession, build: Callable[[], DataFrame], tag: str) -> DataFrame:
+    """Stages what ``build`` returns, then deletes the tables that it staged on its way."""
+    _staged.append([])
+    try:
+        out = build()
+        inner = _staged[-1]
+    finally:
+        _staged.pop()
+    out = stage(out, tag)
+    _delete(spark, inner)
+    return out
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

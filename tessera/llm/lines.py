@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, small_batches, stage
+from .common import WORD, settle, small_batches, stage
 
 MIN_LINES = 2
 PLACE = ["doc_id", "copy", "pos"]
@@ -123,7 +123,7 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     lines and runs went (lines_removed, runs_removed)."""
     small_batches(docs.sparkSession)
     docs = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
-    starts = stage(repeated_lines(docs, min_lines), "line-runs").select(F.col("doc_id").alias("__doc"), F.col("copy").alias("__copy"), F.col("starts").alias("__starts"))
+    starts = settle(docs.sparkSession, lambda: repeated_lines(docs, min_lines), "line-runs").select(F.col("doc_id").alias("__doc"), F.col("copy").alias("__copy"), F.col("starts").alias("__starts"))
     # the same plan at every size: texts are dealt once, never held against a broadcast
     joined = docs.join(starts.hint("merge"), docs["doc_id"].eqNullSafe(starts["__doc"]) & (F.xxhash64(docs["text"]) == starts["__copy"]), "left")
     joined = joined.select(*[docs[c] for c in docs.columns if c != "__starts"], starts["__starts"])

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_table, by_key, mixed, open_block, real_id, record_batch, shuffle_width, sliding_min, stage, stream_by
+from .common import block_table, by_key, mixed, open_block, real_id, record_batch, settle, shuffle_width, sliding_min, stage, stream_by
 
 LENGTH = 400
 ANCHOR = 32
@@ -108,7 +108,7 @@ def _anchors(buckets: int):
     return anchors
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def repeated_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Answers each block with those of its minimisers that stand in two places or more."""
     for _, rows in by_key(batches, "bucket"):
         hashes = [np.frombuffer(r["hashes"], np.uint64) for r in rows]
@@ -346,17 +346,26 @@ def _cut(keep_text: bool):
     return cut
 
 
+def bucket_count(blocks: DataFrame) -> int:
+    """From one number, summed over a row per block."""
+    return max(1, math.ceil((blocks.agg(F.sum("raw_bytes")).first()[0] or 0) / BUCKET_BYTES))
+
+
+def _marked_blocks(docs: DataFrame) -> DataFrame:
+    """Blocks of documents, each with those of its minimisers that stand in two places or more (found)."""
+    blocks = block_table(docs)
+    buckets = bucket_count(blocks)
+    found = stream_by(blocks.mapInArrow(_anchors(buckets), ANCHORS), "bucket", min(buckets, shuffle_width(docs.sparkSession)), repeated_hashes, FOUND)
+    found = found.groupBy("block").agg(F.collect_list("hashes").alias("found"))  # bounded by what the block sent
+    return blocks.join(found.hint("merge"), "block", "left")
+
+
 def remove_repeated_bytes(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes (kept)."""
     spark = docs.sparkSession
-    blocks = block_table(docs)
-    # one number, from one row per block
-    raw = blocks.agg(F.sum("raw_bytes")).first()[0] or 0
-    buckets = max(1, math.ceil(raw / BUCKET_BYTES))
     width = shuffle_width(spark)
-    found = stream_by(blocks.mapInArrow(_anchors(buckets), ANCHORS), "bucket", min(buckets, width), _repeated, FOUND)
-    found = found.groupBy("block").agg(F.collect_list("hashes").alias("found"))  # bounded by what the block sent
-    marked = stage(blocks.join(found.hint("merge"), "block", "left"), "marked-blocks")
+    marked = settle(spark, lambda: _marked_blocks(docs), "marked-blocks")
+    buckets = bucket_count(marked)
     sent = marked.repartition(width, "block").mapInArrow(_send(buckets), SENT)
     verdicts = stage(stream_by(sent, "bucket", min(buckets, 4 * width), _judge, VERDICTS), "byte-verdicts")
     answers = verdicts.groupBy("block").agg(F.collect_list(F.struct("tags", "starts", "ends")).alias("verdicts"))
