@@ -2,15 +2,17 @@
 
 A document's set is its distinct word shingles, as 64-bit hashes. Equal sets become one class first.
 Two sets of similarity ``T`` or more share one of the first ``(1 - T)`` share of their shingles in any
-order common to all; here shingles of rare words come first. Classes that share such a shingle and
+order common to all. Of the shingles, one in ``SAMPLED`` is looked up in the whole corpus: those of
+one document come first (and can't link), those of several last, so that a shared passage links no
+documents which have enough of their own; else shingles of rare words come first. Classes that share such a shingle and
 whose sizes fit are put in one cell; a cell is a connected part of that relation and no link leaves it.
 
 Within a cell a signature tree finds the links: leaves hold the token bitmaps and sizes of documents,
 inner nodes the OR of their bitmaps and the range of their sizes. A dual traversal drops pairs of
 nodes whose largest possible overlap is below what their sizes require; surviving pairs are verified
 on the full sets, unless they are connected already, as only the groups are asked for. Large cells
-are dealt over pages: every page first meets the cell's first page, and only cells that this
-leaves in several groups compare their other pages.
+are dealt over pages: every page first meets the cell's first page. Those that this leaves in
+several groups form smaller cells anew, by neighbouring bands of sizes, whose pages all meet.
 
 Word frequencies are those of words that are frequent within a batch of documents, at most
 ``FREQUENT`` of them; they decide on speed alone, never on results.
@@ -23,6 +25,7 @@ an empty table gives an empty table; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, by_key, mixed, record_batch, shuffle_width, small_batches, stage
+from .common import NULL_ID, block_table, by_key, mixed, open_block, record_batch, settle, shuffle_width, small_batches, stage, stream_by
 from .components import components
+from .runindex import ANCHORS, FOUND, bucket_count, repeated_hashes
 from .superkmers import Hashes
 
 FREQUENT = 1 << 17
 PAGE = 400_000  # shingles of a page
 LEAF = 16
+#: One shingle in so many is looked up in the whole corpus.
+SAMPLED = np.uint64(3)
 FEATURES = "doc_id long, n_shingles long, s1 long, s2 long, prefix array<long>"
 LINKS = "a long, b long"
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -97,13 +103,35 @@ class Weights:
         return out
 
 
+def _sampled(words_each: int, buckets: int):
+    """The block's sampled shingles, and whether one or more of its documents hold each."""
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for batch in batches:
+            for row in batch.to_pylist():
+                _, ends, data = open_block(row["ids"], row["lengths"], row["texts"])
+                own = [u[u % SAMPLED == 0] for u in (shingles(data[x:y], words_each, hashes) for x, y in zip([0, *ends.tolist()], ends.tolist()))]
+                values, counts = np.unique(np.concatenate(own), return_counts=True)
+                goal = ((values >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(goal, kind="stable")
+                cuts = np.flatnonzero(np.diff(goal[order], prepend=-1)).tolist() + [len(order)]
+                rows = [(int(goal[order[x]]), row["block"], values[order[x:y]].tobytes(), np.minimum(counts[order[x:y]], 2).astype(np.uint8).tobytes()) for x, y in zip(cuts, cuts[1:])]
+                if rows:
+                    yield record_batch(rows, ANCHORS)
+
+    return sampled
+
+
 def _features(words_each: int, percent: int, words: np.ndarray, counts: np.ndarray):
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, weights = Hashes(), Weights(words, counts)
-        for batch in batches:
+        for row in (row for batch in batches for row in batch.to_pylist()):
+            ids, ends, data = open_block(row["ids"], row["lengths"], row["texts"])
+            shared = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in row["found"] or [b""]]))
             n, s1, s2, prefixes = [], [], [], []
-            for t in batch.column("text").cast(pa.binary()).to_pylist():
-                h = word_hashes(t or b"", hashes)
+            for begin, end in zip([0, *ends.tolist()], ends.tolist()):
+                h = word_hashes(data[begin:end], hashes)
                 u, at = np.unique(shingle_row(h, words_each), return_index=True)
                 n.append(len(u))
                 s1.append(int(u.sum(dtype=np.uint64).view(np.int64)))
@@ -111,17 +139,28 @@ def _features(words_each: int, percent: int, words: np.ndarray, counts: np.ndarr
                 if not len(u):
                     prefixes.append(np.empty(0, np.int64))
                     continue
+                # shingles known to be of one document come first, those known to be of several last
+                rank = np.where(u % SAMPLED == 0, 2 * np.isin(u, shared, assume_unique=True), 1)
                 sums = np.cumsum(np.append(0, weights.of(h)))
                 k = min(len(h), words_each)
-                order = np.argsort((sums[k:] - sums[:-k])[at], kind="stable")  # ties in the order of the hashes
-                prefixes.append(u[order[: prefix_length(len(u), percent)]].view(np.int64))
+                order = np.lexsort(((sums[k:] - sums[:-k])[at], rank))[: prefix_length(len(u), percent)]  # ties in the order of the hashes
+                # a shingle of one document meets no other
+                prefixes.append(u[order[rank[order] > 0]].view(np.int64))
             lengths = np.cumsum([0] + [len(x) for x in prefixes])
-            flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))], ["doc_id", "n_shingles", "s1", "s2", "prefix"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(prefixes)))], ["doc_id", "n_shingles", "s1", "s2", "prefix"])
 
     return features
 
 
+def _ordered_prefixes(docs: DataFrame, words_each: int, percent: int, words: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """FEATURES of every document: the size of its set, two sums that tell sets apart, and its rarest shingles."""
+    blocks = block_table(docs)
+    buckets = bucket_count(blocks)
+    dealt = stream_by(blocks.mapInArrow(_sampled(words_each, buckets), ANCHORS), "bucket", min(buckets, shuffle_width(docs.sparkSession)), repeated_hashes, FOUND)
+    found = dealt.groupBy("block").agg(F.collect_list("hashes").alias("found"))  # bounded by what the block sent
+    return blocks.join(found.hint("merge"), "block", "left").mapInArrow(_features(words_each, percent, words, counts), FEATURES)
+
+
 def _stars(percent: int):
     """Pairs that connect the documents of one shingle whose sizes fit, from rows sorted by shingle and size."""
 
@@ -249,14 +288,61 @@ def jaccard_groups(docs: DataFrame, words_each: int = 3, percent: int = 90) -> D
     # at most FREQUENT rows, whatever the corpus
     common = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
     words, often = np.array([r[0] for r in common], np.int64).view(np.uint64), np.array([r[1] for r in common], np.int64)
-    features = stage(docs.mapInArrow(_features(words_each, percent, words, often), FEATURES), "shingle-features")
+    features = settle(spark, lambda: _ordered_prefixes(docs, words_each, percent, words, often), "shingle-features")
     key = ["n_shingles", "s1", "s2"]
     classes = stage(features.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")), "shingle-classes")
+    groups = settle(spark, lambda: _class_groups(docs, classes, words_each, percent), "class-groups")
+    named = classes.join(groups.withColumnsRenamed({"node": "rep"}), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component"))
+    joined = features.select("doc_id", *key).join(named.hint("merge"), key, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).alias(c)
+    return joined.select(real("doc_id"), "n_shingles", real("component_id"))
+
+
+def _near(postings: DataFrame, percent: int) -> DataFrame:
+    """Pairs that connect all that share a shingle and fit in size; ``postings`` is (token, n, doc)."""
+    dealt = postings.repartition(2 * shuffle_width(postings.sparkSession), "token").sortWithinPartitions("token", "n", "doc")
+    return dealt.mapInArrow(_stars(percent), LINKS).distinct()
+
 
+def _cell_members(classes: DataFrame, percent: int) -> DataFrame:
+    """(node, component, n_shingles): the classes that share a shingle of their prefixes with another, by cell."""
     postings = classes.select(F.explode("prefix").alias("token"), F.col("n_shingles").alias("n"), F.col("rep").alias("doc"))
-    near = postings.repartition(2 * shuffle_width(spark), "token").sortWithinPartitions("token", "n", "doc").mapInArrow(_stars(percent), LINKS).distinct()
-    cells = components(stage(near, "cell-edges"))  # node, component
-    members = stage(cells.join(classes.select(F.col("rep").alias("node"), "n_shingles"), "node"), "cell-members")
+    cells = components(stage(_near(postings, percent), "cell-edges"))
+    return cells.join(classes.select(F.col("rep").alias("node"), "n_shingles"), "node")
+
+
+def _banded_links(large: DataFrame, found: DataFrame, classes: DataFrame, words_each: int, percent: int) -> DataFrame:
+    """Links between the groups that their first page leaves large cells in.
+
+    Sets link within a band of sizes or to the next band only, so these classes form new cells for every
+    two neighbouring bands. Those in which one group is left are done; in the others every two pages meet.
+    """
+    spark = large.sparkSession
+    labelled = large.select("doc_id", "cell").join(found.withColumnsRenamed({"node": "doc_id", "component": "label"}), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+    labelled = stage(labelled.distinct(), "cell-labels")
+    split = labelled.groupBy("cell").agg((F.min("label") != F.max("label")).alias("split")).where("split").select("cell")
+    own = classes.withColumnRenamed("rep", "doc_id").select("doc_id", "n_shingles", "prefix")
+    rest = stage(labelled.join(split, "cell", "left_semi").join(own, "doc_id"), "cell-rest")
+    # a little wider than what may link, so that rounding parts no two
+    band = F.floor(F.log("n_shingles") / math.log(1.01 * 100 / percent))
+    banded = rest.withColumn("band", F.explode(F.array(band - 1, band))).withColumn("node", F.xxhash64("doc_id", "band"))
+    tokens = banded.select(F.explode("prefix").alias("token"), "band", F.col("n_shingles").alias("n"), F.col("node").alias("doc")).withColumn("token", F.xxhash64("token", "band")).drop("band")
+    cells = components(stage(_near(tokens, percent), "band-edges"))
+    members = stage(banded.select("node", "doc_id", "label", "n_shingles").join(cells, "node"), "band-members")
+    sizes = members.groupBy("component").agg(F.ceil(F.sum("n_shingles") / PAGE).alias("pages"), (F.min("label") != F.max("label")).alias("split")).where("split")
+    paged = members.join(sizes, "component").withColumn("page", F.pmod(F.xxhash64("doc_id"), F.col("pages")))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("pages") - 1), lambda o: F.struct(F.least(o, F.col("page")).alias("x"), F.greatest(o, F.col("page")).alias("y")))
+    several = F.filter(pairs, lambda q: (q["x"] != q["y"]) | (F.col("pages") == 1))
+    tasks = paged.select("doc_id", "label", "component", F.explode(several).alias("pair")).select(F.col("doc_id").alias("node"), "label", F.xxhash64("component", "pair.x", "pair.y").alias("task"))
+    tasks = stage(tasks.distinct(), "band-tasks")
+    texts = large.select("doc_id", "text")
+    return _run_tasks(texts.join(tasks.hint("merge"), texts["doc_id"] == tasks["node"]), words_each, percent, "links-second")
+
+
+def _class_groups(docs: DataFrame, classes: DataFrame, words_each: int, percent: int) -> DataFrame:
+    """(node, component) of the classes that have links."""
+    spark = docs.sparkSession
+    members = settle(spark, lambda: _cell_members(classes, percent), "cell-members")
     sizes = members.groupBy("component").agg(F.ceil(F.sum("n_shingles") / PAGE).alias("pages"))
     paged = members.join(sizes, "component").select("node", F.col("component").alias("cell"), "pages", F.pmod(F.xxhash64("node"), F.col("pages")).alias("page"))
     texts = docs.join(paged.hint("merge"), docs["doc_id"] == paged["node"]).drop("node")
@@ -268,17 +354,5 @@ def jaccard_groups(docs: DataFrame, words_each: int = 3, percent: int = 90) -> D
     links = _run_tasks(first, words_each, percent, "links-first")
     large = texts.where("pages > 1")
     if not large.isEmpty():
-        found = components(links)
-        labelled = large.join(found.withColumnsRenamed({"node": "doc_id", "component": "label"}), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-        labelled = stage(labelled, "cell-labels")
-        split = labelled.groupBy("cell").agg((F.min("label") != F.max("label")).alias("split")).where("split").select("cell")
-        rest = labelled.join(split, "cell", "left_semi").where("page > 0")
-        # every pair of pages after the first meets once
-        pairs = F.transform(F.sequence(F.lit(1), F.col("pages") - 1), lambda o: F.struct(F.least(o, F.col("page")).alias("a"), F.greatest(o, F.col("page")).alias("b")))
-        second = rest.where("pages > 2").withColumn("pair", F.explode(pairs)).withColumn("task", F.xxhash64("cell", "pair.a", "pair.b"))
-        links = links.unionByName(_run_tasks(second, words_each, percent, "links-second"))
-    groups = components(links)
-    named = classes.join(groups.withColumnsRenamed({"node": "rep"}), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component"))
-    joined = features.select("doc_id", *key).join(named.hint("merge"), key, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).alias(c)
-    return joined.select(real("doc_id"), "n_shingles", real("component_id"))
+        links = links.unionByName(settle(spark, lambda: _banded_links(large, components(links), classes, words_each, percent), "links-banded"))
+    return components(links)
