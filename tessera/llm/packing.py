@@ -62,7 +62,7 @@ class Words(dict):
         parts: dict[bytes, list[bytes]] = {}
         plain: dict[bytes, None] = {}
         for w in words.difference(self):
-            x = w.lower() if w.isascii() else w
+            x = w.lower() if w.isascii() and b"<|" not in w else w  # special tokens keep their case
             own = [x[:-1], x[-1:]] if x[-1:] in (b".", b",") and x[-2:-1].isalpha() else [x]
             parts[w] = own
             plain.update(dict.fromkeys(own))
