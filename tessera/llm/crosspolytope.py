@@ -6,13 +6,15 @@ the first, and within a cell rows carry the second. A query probes, per table, t
 axes it is nearest to. In each cell the candidates are scored exactly (cosine, double precision) and
 the best go on; a query's best over all cells are its answer.
 
-Equal vectors are one class, with its few smallest ids: a vector that fills a third of the table is
-hashed and scored once. Cells are split by a number of salts that grows with the rows. The random
+Equal vectors are one class, with its few smallest distinct ids and how often each is stored: a vector
+that fills a third of the table is hashed and scored once. Wherever only the best go on, distinct ids
+are counted, as all rows of one id may turn out to be the query's own. Cells are split by a number of salts that grows with the rows. The random
 signs come from a seed; nothing is fitted.
 
 Defined results: vectors that are null, zero or hold null or non-finite components take no part, as
 queries or candidates; vectors of different lengths don't match; ties go to the smaller id; repeated
-ids are separate rows (a row is no candidate of queries of its own id); with fewer candidates than
+ids are separate rows (a row is no candidate of queries of its own id; query rows of one id with
+different vectors are answered each, equal ones once); with fewer candidates than
 ``k`` all of those found come back; an empty table gives no row; extra columns are ignored.
 """
 
@@ -34,8 +36,8 @@ AXES = 32  # of each hash, among which the probed pairs are sought
 SEED = 20240501
 #: Index rows that a cell should have on average.
 CELL_ROWS = 2000
-CELLS = "cell long, kind int, class long, codes binary, vector binary"
-FOUND = "query long, class long, score double"
+CELLS = "cell long, kind int, class long, first long, codes binary, vector binary"
+FOUND = "query long, class long, first long, score double"
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -60,14 +62,14 @@ def axis_scores(unit: np.ndarray, table: int, part: int) -> np.ndarray:
     return np.concatenate([x, -x], 1)
 
 
-def _groups(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(class ids, vectors) of the batch, one for each length of vectors."""
-    ids = np.array(batch.column("class").to_pylist(), np.int64)
+def _groups(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(class ids, their smallest vec_ids, vectors) of the batch, one for each length of vectors."""
+    ids, firsts = (np.array(batch.column(n).to_pylist(), np.int64) for n in ("class", "first"))
     vectors = batch.column("vector")
     lengths = np.array([len(v) for v in vectors.to_pylist()])
     for n in np.unique(lengths):
         own = np.flatnonzero(lengths == n)
-        yield ids[own], np.stack([np.asarray(vectors[int(i)].as_py(), np.float64) for i in own])
+        yield ids[own], firsts[own], np.stack([np.asarray(vectors[int(i)].as_py(), np.float64) for i in own])
 
 
 def _cell(table: int, dim: int, axis: np.ndarray, salts: int) -> np.ndarray:
@@ -77,13 +79,13 @@ def _cell(table: int, dim: int, axis: np.ndarray, salts: int) -> np.ndarray:
 def _index(salts: int, kind: str):
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, vectors in _groups(batch):
+            for ids, firsts, vectors in _groups(batch):
                 unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
                 raw = [v.tobytes() for v in vectors.astype(kind)]
                 for t in range(TABLES):
                     first, second = axis_scores(unit, t, 0).argmax(1), axis_scores(unit, t, 1).argmax(1)
                     cell = _cell(t, vectors.shape[1], first, salts) + ids % salts
-                    yield record_batch([(int(c), 0, int(i), int(s).to_bytes(4, "little"), v) for c, i, s, v in zip(cell, ids, second, raw)], CELLS)
+                    yield record_batch([(int(c), 0, int(i), int(f), int(s).to_bytes(4, "little"), v) for c, i, f, s, v in zip(cell, ids, firsts, second, raw)], CELLS)
 
     return index
 
@@ -100,17 +102,17 @@ def best_pairs(first: np.ndarray, second: np.ndarray, probes: int) -> tuple[np.n
 def _probe(salts: int, kind: str):
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, vectors in _groups(batch):
+            for ids, firsts, vectors in _groups(batch):
                 unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
                 raw = [v.tobytes() for v in vectors.astype(kind)]
                 for t in range(TABLES):
                     first, second = best_pairs(axis_scores(unit, t, 0), axis_scores(unit, t, 1), PROBES)
                     rows = []
-                    for i, v, x, y in zip(ids.tolist(), raw, first, second):
+                    for i, f, v, x, y in zip(ids.tolist(), firsts.tolist(), raw, first, second):
                         for axis in np.unique(x):
                             codes = y[x == axis].astype("<u4").tobytes()
                             base = int(_cell(t, vectors.shape[1], axis, salts))
-                            rows += [(base + s, 1, i, codes, v) for s in range(salts)]
+                            rows += [(base + s, 1, i, f, codes, v) for s in range(salts)]
                     yield record_batch(rows, CELLS)
 
     return probe
@@ -120,6 +122,18 @@ def cosines(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return (vectors * query).sum(1) / (np.sqrt((vectors * vectors).sum(1)) * math.sqrt(float((query * query).sum())))
 
 
+def among_best(scores: np.ndarray, ids: np.ndarray, keep: int) -> np.ndarray:
+    """Places of the scores down to the best one of the ``keep``-th distinct id; ties there all stay."""
+    if len(scores) <= keep:
+        return np.arange(len(scores))
+    good = np.flatnonzero(scores >= np.partition(scores, -keep)[-keep])
+    if len(np.unique(ids[good])) >= keep:
+        return good
+    order = np.argsort(-scores, kind="stable")
+    leads = np.sort(np.unique(ids[order], return_index=True)[1])
+    return np.flatnonzero(scores >= scores[order[leads[keep - 1]]]) if len(leads) > keep else np.arange(len(scores))
+
+
 def _score(kind: str, keep: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in by_key(batches, "cell"):
@@ -128,7 +142,7 @@ def _score(kind: str, keep: int):
             if not index or not queries:
                 continue
             vectors = np.frombuffer(b"".join(r["vector"] for r in index), kind).astype(np.float64).reshape(len(index), -1)
-            ids = np.array([r["class"] for r in index], np.int64)
+            ids, firsts = (np.array([r[n] for r in index], np.int64) for n in ("class", "first"))
             codes = np.frombuffer(b"".join(r["codes"] for r in index), "<u4")
             out = []
             for q in queries:
@@ -139,8 +153,8 @@ def _score(kind: str, keep: int):
                 if len(at):
                     s = cosines(np.frombuffer(q["vector"], kind).astype(np.float64), vectors[at])
                     # ties at the last place all stay: their ids decide later
-                    good = np.flatnonzero(s >= np.partition(s, -keep)[-keep]) if len(s) > keep else np.arange(len(s))
-                    out += zip([q["class"]] * len(good), ids[at[good]].tolist(), s[good].tolist())
+                    good = among_best(s, firsts[at], keep)
+                    out += zip([q["class"]] * len(good), ids[at[good]].tolist(), firsts[at[good]].tolist(), s[good].tolist())
             if out:
                 yield record_batch(out, FOUND)
 
@@ -152,6 +166,12 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
+def leading(rows: DataFrame, name: str, n: int) -> DataFrame:
+    """All rows of the ``n`` distinct values of ``name`` that have a query's best scores; ties go to the smaller."""
+    lead = rows.withColumn("lead", F.max("score").over(Window.partitionBy("query", name)))
+    return lead.withColumn("r", F.dense_rank().over(Window.partitionBy("query").orderBy(F.desc("lead"), name))).where(F.col("r") <= n).drop("lead", "r")
+
+
 def nearest(rows: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): up to ``k`` nearest rows of each query row; ``rows`` has
     vec_id and embedding."""
@@ -159,22 +179,25 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     kind = "<f4" if dict(rows.dtypes)["embedding"] == "array<float>" else "<f8"
     fine = rows.where(usable(F.col("embedding"))).select(F.col("vec_id").cast("long"), F.col("embedding").alias("vector"), is_query.alias("asks")).where("vec_id is not null")
     # the smallest ids of each class of equal vectors: limited before the shuffle
-    smallest = fine.withColumn("place", F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))).where(F.col("place") <= k + 1)
-    classes = smallest.groupBy("vector").agg(F.min("vec_id").alias("class"), F.array_sort(F.collect_list("vec_id")).alias("members"))
-    classes = stage(classes, "vector-classes")
-    asked = fine.where("asks").select("vector").distinct().join(classes.select("vector", "class"), "vector")
+    stored = fine.groupBy("vector", "vec_id").agg(F.count("*").alias("copies"))
+    smallest = stored.withColumn("place", F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))).where(F.col("place") <= k + 1)
+    member = F.struct("vec_id", F.least("copies", F.lit(k)).cast("int").alias("copies"))
+    classes = smallest.groupBy("vector").agg(F.min("vec_id").alias("first"), F.array_sort(F.collect_list(member)).alias("members"))
+    # an id may have several vectors, so that its classes need numbers of their own: fixed once they are written
+    classes = stage(classes.withColumn("class", F.monotonically_increasing_id()), "vector-classes")
+    asked = fine.where("asks").select("vector").distinct().join(classes.select("vector", "class", "first"), "vector")
     n = classes.count()
     salts = max(1, math.ceil(n / (128 * CELL_ROWS)))
-    index = classes.select("class", "vector").repartition(shuffle_width(spark), "class").mapInArrow(_index(salts, kind), CELLS)
-    probes = asked.select("class", "vector").repartition(shuffle_width(spark), "class").mapInArrow(_probe(salts, kind), CELLS)
+    index = classes.select("class", "first", "vector").repartition(shuffle_width(spark), "class").mapInArrow(_index(salts, kind), CELLS)
+    probes = asked.select("class", "first", "vector").repartition(shuffle_width(spark), "class").mapInArrow(_probe(salts, kind), CELLS)
     found = index.unionByName(probes).repartition(4 * shuffle_width(spark), "cell").sortWithinPartitions("cell").mapInArrow(_score(kind, k + 1), FOUND)
-    # a class found in several tables has one score and one rank
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "class")
-    top = found.withColumn("r", F.dense_rank().over(best)).where(F.col("r") <= 2 * k + 2).groupBy("query", "class").agg(F.max("score").alias("score"))
-    members = top.join(classes.select("class", F.explode("members").alias("vec_id")), "class")
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    answers = stage(members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1).select("query", "vec_id", "score"), "class-answers")
+    # a class found in several tables has one score
+    top = leading(found.groupBy("query", "class", "first").agg(F.max("score").alias("score")), "first", k + 1)
+    members = top.join(classes.select("class", F.explode("members").alias("m")), "class").select("query", "m.vec_id", "m.copies", "score")
+    answers = stage(leading(members, "vec_id", k + 1), "class-answers")
     queries = fine.where("asks").join(classes.select("vector", F.col("class").alias("query")), "vector").select(F.col("vec_id").alias("query_id"), "query")
-    own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    result = queries.distinct().join(answers, "query").where("query_id != vec_id").withColumn("rank", F.row_number().over(own).cast("int")).where(F.col("rank") <= k)
+    own = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
+    others = queries.distinct().join(answers, "query").where("query_id != vec_id")
+    each = others.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    result = each.withColumn("rank", F.row_number().over(own).cast("int")).where(F.col("rank") <= k)
     return result.select("query_id", "rank", "vec_id", "score")
