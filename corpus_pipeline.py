@@ -25,9 +25,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated line runs go, and documents that consisted of them; n_chars follows
-    where a text changed."""
-    kept = lines.dedup_lines(docs)
+    """Later copies of repeated line runs and of passages on one line go, and documents that consisted
+    of them; n_chars follows where a text changed."""
+    kept = lines.dedup_lines(docs, min_words=lines.PASSAGE_WORDS)
     kept = kept.where((F.col("lines_removed") == 0) | (word_count(F.col("text")) > 0))
     changed = F.when(F.col("lines_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", changed).select(*docs.columns)

@@ -12,6 +12,10 @@ rank at that depth are exactly the intervals of the suffix array whose longest c
 reach it. In each interval the first occurrence (smallest doc_id, then position) stays; from the
 others the common lines go. Overlapping ones join to maximal repeated runs.
 
+A passage may be written as one line, which is no run of ``MIN_LINES``. With ``min_words``, later
+copies of a line of more words than that go too, whatever stands beside them: such lines have their
+rank from depth 1. Without it, runs are measured in lines alone, as in the SQL of ``op8_line_runs``.
+
 Defined results: a null text has no lines and stays null; lines are split at "\\n"; lines without a
 word stay where they are; rows of one doc_id with different texts are documents of their own,
 and repeats of a whole row share one fate: all are judged as that document; an empty table gives an
@@ -21,7 +25,7 @@ are replaced).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +35,22 @@ from pyspark.sql import functions as F
 from .common import WORD, settle, small_batches, stage
 
 MIN_LINES = 2
+#: A line of more words than this is a passage: the pipeline counts a copy of it as a run.
+PASSAGE_WORDS = 50
 PLACE = ["doc_id", "copy", "pos"]
 
 
-def line_sequences(docs: DataFrame) -> DataFrame:
+def line_sequences(docs: DataFrame, min_words: int | None = None) -> DataFrame:
     """(doc_id, copy, pos, line): lines with a word, numbered within the document; ``copy`` tells
-    documents of one doc_id apart."""
+    documents of one doc_id apart. With ``min_words`` also ``long``: whether the line has more words."""
     lines = F.filter(F.split(F.col("text"), "\n", -1), lambda x: F.regexp_count(x, F.lit(WORD)) > 0)
-    hashed = F.transform(lines, lambda x: F.unhex(F.md5(x.cast("binary"))))
-    return docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("copy"), F.posexplode(hashed).alias("pos", "line"))
+    hashed = lambda x: F.unhex(F.md5(x.cast("binary")))
+    place = [F.col("doc_id").cast("long"), F.xxhash64("text").alias("copy")]
+    docs = docs.where(F.col("text").isNotNull())
+    if min_words is None:
+        return docs.select(*place, F.posexplode(F.transform(lines, hashed)).alias("pos", "line"))
+    marked = F.transform(lines, lambda x: F.struct(hashed(x).alias("line"), (F.regexp_count(x, F.lit(WORD)) > min_words).alias("long")))
+    return docs.select(*place, F.posexplode(marked).alias("pos", "l")).select(*PLACE, "l.line", "l.long")
 
 
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,10 +75,16 @@ def ranked(rows: DataFrame, keys: list[str], rank: str) -> DataFrame:
     return rows.join(numbered, keys)
 
 
-def suffix_ranks(lines: DataFrame, depth: int) -> DataFrame:
+def line_ranks(lines: DataFrame) -> DataFrame:
+    """``lines``, (doc_id, copy, pos, line), with ``rank`` in place of ``line``: the rank of each suffix by its first line,
+    where it is shared."""
+    return stage(ranked(lines, ["line"], "rank").where("rank_n > 1").drop("line", "rank_n"), "ranks1")
+
+
+def suffix_ranks(known: DataFrame, depth: int) -> DataFrame:
     """(doc_id, copy, pos, rank): rank of each suffix by its first ``depth`` lines, for suffixes that are
-    that long and whose rank is shared; ``lines`` is (doc_id, copy, pos, line)."""
-    known = stage(ranked(lines, ["line"], "rank").where("rank_n > 1").select(*PLACE, "rank"), "ranks1")
+    that long and whose rank is shared; ``known`` holds those of depth 1."""
+    known = known.select(*PLACE, "rank")
     k = 1
     while k < depth:
         step = min(k, depth - k)  # the last round may overlap
@@ -78,21 +95,30 @@ def suffix_ranks(lines: DataFrame, depth: int) -> DataFrame:
     return known
 
 
-def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """(doc_id, copy, starts): where, among a document's lines with a word, later copies of ``min_lines`` lines start."""
-    known = suffix_ranks(line_sequences(docs), min_lines)
+def later_copies(known: DataFrame) -> DataFrame:
+    """The suffixes whose rank stands earlier too."""
     first = known.groupBy("rank").agg(F.min(F.struct(*PLACE)).alias("first"))
-    later = known.join(first, "rank").where(~F.struct(*PLACE).eqNullSafe(F.col("first")))
-    return later.groupBy("doc_id", "copy").agg(F.sort_array(F.collect_set("pos")).alias("starts"))
+    return known.join(first, "rank").where(~F.struct(*PLACE).eqNullSafe(F.col("first"))).select(*PLACE)
+
+
+def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
+    """(doc_id, copy, starts, alone): where, among a document's lines with a word, later copies of ``min_lines`` lines
+    start, and where later copies of a line of over ``min_words`` words stand."""
+    known = line_ranks(line_sequences(docs, min_words))
+    later = later_copies(suffix_ranks(known, min_lines)).withColumn("run", F.lit(True))
+    if min_words is not None:
+        later = later.unionByName(later_copies(known.where("long")).withColumn("run", F.lit(False)))
+    places = lambda which: F.sort_array(F.collect_set(F.when(which, F.col("pos"))))
+    return later.groupBy("doc_id", "copy").agg(places(F.col("run")).alias("starts"), places(~F.col("run")).alias("alone"))
 
 
-def without_runs(text: bytes, starts: list[int], min_lines: int) -> tuple[bytes, int, int]:
+def without_runs(text: bytes, starts: list[int], min_lines: int, alone: Iterable[int] = ()) -> tuple[bytes, int, int]:
     """The text without the lines of its repeated runs; the lines and the maximal runs that went."""
     gone, runs, end = set(), 0, -1
-    for s in starts:
+    for s, e in sorted([(s, s + min_lines) for s in starts] + [(s, s + 1) for s in alone]):
         runs += s > end
-        end = s + min_lines
-        gone.update(range(s, end))
+        end = max(end, e)
+        gone.update(range(s, e))
     kept, k = [], -1
     for line in text.split(b"\n"):
         if line and not line.isspace():
@@ -107,25 +133,26 @@ def _remove(min_lines: int):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, lines, runs = [], [], []
-            for text, starts in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("__starts").to_pylist()):
-                new = without_runs(text, starts, min_lines) if text is not None and starts else (text, 0, 0)
+            for text, starts, alone in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("__starts").to_pylist(), b.column("__alone").to_pylist()):
+                new = without_runs(text, starts or [], min_lines, alone or []) if text is not None and (starts or alone) else (text, 0, 0)
                 texts.append(new[0])
                 lines.append(new[1])
                 runs.append(new[2])
-            keep = [n for n in b.schema.names if n not in ("text", "__starts", "lines_removed", "runs_removed")]
+            keep = [n for n in b.schema.names if n not in ("text", "__starts", "__alone", "lines_removed", "runs_removed")]
             yield pa.RecordBatch.from_arrays([*[b.column(n) for n in keep], pa.array(texts, pa.binary()).cast(pa.string()), pa.array(lines, pa.int64()), pa.array(runs, pa.int64())], [*keep, "text", "lines_removed", "runs_removed"])
 
     return remove
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """The documents with later copies of repeated line runs removed from their text, and how many
-    lines and runs went (lines_removed, runs_removed)."""
+    lines and runs went (lines_removed, runs_removed). Runs have ``min_lines`` lines, or with ``min_words``
+    one line of more words than that."""
     small_batches(docs.sparkSession)
     docs = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
-    starts = settle(docs.sparkSession, lambda: repeated_lines(docs, min_lines), "line-runs").select(F.col("doc_id").alias("__doc"), F.col("copy").alias("__copy"), F.col("starts").alias("__starts"))
+    starts = settle(docs.sparkSession, lambda: repeated_lines(docs, min_lines, min_words), "line-runs").select(F.col("doc_id").alias("__doc"), F.col("copy").alias("__copy"), F.col("starts").alias("__starts"), F.col("alone").alias("__alone"))
     # the same plan at every size: texts are dealt once, never held against a broadcast
     joined = docs.join(starts.hint("merge"), docs["doc_id"].eqNullSafe(starts["__doc"]) & (F.xxhash64(docs["text"]) == starts["__copy"]), "left")
-    joined = joined.select(*[docs[c] for c in docs.columns if c != "__starts"], starts["__starts"])
-    schema = ", ".join([f"`{n}` {t}" for n, t in docs.dtypes if n not in ("text", "lines_removed", "runs_removed")] + ["text string", "lines_removed long", "runs_removed long"])
+    joined = joined.select(*[docs[c] for c in docs.columns if c not in ("__starts", "__alone")], starts["__starts"], starts["__alone"])
+    schema = ", ".join([f"`{n}` {t}" for n, t in docs.dtypes if n not in ("text", "__starts", "__alone", "lines_removed", "runs_removed")] + ["text string", "lines_removed long", "runs_removed long"])
     return joined.mapInArrow(_remove(min_lines), schema)
