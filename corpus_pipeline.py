@@ -47,8 +47,8 @@ def curriculum_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def ordered_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 4096 tokens."""
-    return packing.pack(docs)
+    """Pieces of documents in sequences of at most 4096 tokens, in the order in which the mix was written."""
+    return packing.pack(docs, order=packing.stored_order())
 
 
 STAGES = [

@@ -109,8 +109,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 
 
 def curriculum(docs: DataFrame, **parameters) -> DataFrame:
-    """The training order: a row per taken document and epoch, range-sorted by position."""
+    """The training order: a row per taken document and epoch, range-sorted by position; ``taken`` are the words
+    taken in that epoch."""
     m = mix(docs, **parameters)
-    epochs = F.array(F.struct(F.lit(1).alias("epoch"), F.col("position").alias("at")), F.struct(F.lit(2).alias("epoch"), F.col("position2").alias("at")))
-    rows = m.select("doc_id", "source", "size", "taken", F.explode(epochs).alias("e")).select("doc_id", "source", "size", "taken", "e.epoch", F.col("e.at").alias("position"))
-    return rows.where(F.col("position").isNotNull()).orderBy("position", "doc_id", "epoch")
+    whole = F.least("taken", "size")  # the second epoch takes what the first leaves
+    epochs = F.array(
+        F.struct(F.lit(1).alias("epoch"), whole.alias("words"), F.col("position").alias("at")),
+        F.struct(F.lit(2).alias("epoch"), (F.col("taken") - whole).alias("words"), F.col("position2").alias("at")),
+    )
+    kept = ["doc_id", "source", "size", "source_size", "target"]
+    # staged, so that the sort's sampling doesn't repeat the mix
+    rows = stage(m.select(*kept, F.explode(epochs).alias("e")).select(*kept, F.col("e.words").alias("taken"), "e.epoch", F.col("e.at").alias("position")).where("position is not null"), "mix-order")
+    return rows.orderBy("position", "doc_id", "epoch")

@@ -1,6 +1,6 @@
 """Order-preserving packing of token streams into windows by dynamic programming.
 
-Documents are range-partitioned by id and stay in that order. A task tokenises its documents one
+Documents are range-partitioned by id, or by the columns given as their order, and stay in that order. A task tokenises its documents one
 after the other and packs them in blocks of about ``BLOCK`` tokens: it chooses window cuts among
 document ends, sentence ends and, inside long sentences, every ``STRIDE`` tokens, minimising padding
 plus a penalty for the kind of cut. The best predecessor of a cut is the one with the smallest
@@ -11,7 +11,7 @@ window, which is split at powers of two as those need no padding.
 Memory of a task: one block of tokens and one document. A lost task is repeated alone.
 
 Defined results: a null text is empty (its document is the end token alone); repeated ids are packed
-next to each other; an empty table gives no piece; extra columns are ignored; a text of any length
+next to each other unless another order is given; an empty table gives no piece; extra columns are ignored; a text of any length
 spans as many windows as it needs. Sequence ids are unique and rise with the order of documents.
 """
 
@@ -19,12 +19,12 @@ from __future__ import annotations
 
 import zlib
 from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import shuffle_width, small_batches
@@ -222,9 +222,23 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """One row per piece of a document in a window. ``path``: a tokenizer file on every machine."""
+def stored_order() -> list[Column]:
+    """The order in which Spark wrote the rows of a table that is read from its Parquet files: by number of the
+    part file, name of the file, and row."""
+    name = F.col("_metadata.file_name")
+    return [F.coalesce(F.try_to_number(F.regexp_extract(name, r"^part-(\d+)", 1), F.lit("9" * 18)), F.lit(0)).cast("long"), name, F.col("_metadata.row_index")]
+
+
+def pack(docs: DataFrame, path: str | None = None, order: Sequence[Column] | None = None) -> DataFrame:
+    """One row per piece of a document in a window. ``path``: a tokenizer file on every machine; ``order``: columns
+    by which the documents follow each other, in place of doc_id."""
     spark = docs.sparkSession
     small_batches(spark, 500)
-    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange(shuffle_width(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    slim = [F.col("doc_id").cast("long"), F.col("text").cast("string")]
+    if order is None:
+        ordered = docs.select(*slim).repartitionByRange(shuffle_width(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    else:
+        keys = [f"order{n}" for n in range(len(order))]
+        ordered = docs.select(*slim, *[c.alias(k) for k, c in zip(keys, order)])
+        ordered = ordered.repartitionByRange(shuffle_width(spark), *keys).sortWithinPartitions(*keys).drop(*keys)
     return ordered.withColumn("part", F.spark_partition_id().cast("long")).mapInArrow(packer(path or tokenizer_path()), PIECES)
