@@ -90,5 +90,8 @@ def format_number(value: Column, pattern: str) -> Column:
     if kind == "F":
         return F.format_string(f"%.{digits}f", value.cast("double"))
     if kind == "D":
-        return F.lpad(value.cast("long").cast("string"), digits, "0")
+        text = value.cast("long").cast("string")
+        plain = F.ltrim(text, F.lit("-"))
+        # the width is the least number of digits: longer numbers stay whole, and the sign stands before the zeros
+        return F.concat(F.when(text.startswith("-"), "-").otherwise(""), F.lpad(plain, F.greatest(F.length(plain), F.lit(digits)), F.lit("0")))
     raise UnsupportedFeatureError(f"number format {pattern}")

@@ -42,6 +42,12 @@ def format_(t: Tables) -> DataFrame:
     return t.orders.where("o_custkey < 100000000").select("o_orderkey", S.format_date(c("o_orderdate"), "yyyy/MM/dd").alias("d"), S.format_number(c("o_totalprice"), "F2").alias("f"), S.format_number(c("o_custkey"), "D8").alias("p"))
 
 
+@query("select o_orderkey, case when k < 0 then '-' else '' end || repeat('0', greatest(0, 8 - length(abs(k)::varchar))::integer) || abs(k)::varchar as p from (select o_orderkey, o_custkey * 7919 * (case when o_orderkey % 2 = 0 then 1 else -1 end) * (case when o_orderkey % 3 = 0 then 1000 else 1 end) as k from orders)")
+def format_digits(t: Tables) -> DataFrame:
+    sign, far = F.when(c("o_orderkey") % 2 == 0, 1).otherwise(-1), F.when(c("o_orderkey") % 3 == 0, 1000).otherwise(1)
+    return t.orders.select("o_orderkey", S.format_number(c("o_custkey") * 7919 * sign * far, "D8").alias("p"))
+
+
 @query("select l_orderkey, l_linenumber, round(l_extendedprice, -2) as h, round(power(l_quantity, 1.5), 4) as p, round(sqrt(l_extendedprice), 6) as s, l_orderkey % 7 as m, ceil(l_extendedprice)::bigint as c, floor(l_discount * 10)::bigint as f, round(trunc(l_extendedprice * 10) / 10, 4) as t from lineitem")
 def math_funcs(t: Tables) -> DataFrame:
     return t.lineitem.select("l_orderkey", "l_linenumber", N.round_(c("l_extendedprice"), -2).alias("h"), F.round(N.power(c("l_quantity"), F.lit(1.5)), 4).alias("p"), F.round(F.sqrt("l_extendedprice"), 6).alias("s"), N.mod(c("l_orderkey"), F.lit(7)).alias("m"), F.ceil("l_extendedprice").cast("long").alias("c"), F.floor(c("l_discount") * 10).cast("long").alias("f"), F.round(N.trunc(c("l_extendedprice"), 1), 4).alias("t"))
@@ -99,6 +105,13 @@ def datetime_parts(t: Tables) -> DataFrame:
     return t.events.where("event_id < 10").select("event_id", D.datetime2fromparts(*parts).alias("t"))
 
 
+@query("select event_id, make_timestamp(year(ts), month(ts), day(ts), hour(ts), minute(ts), second(ts) + microsecond(ts) % 1000000 / 1e6) as t from events")
+def datetime_parts_columns(t: Tables) -> DataFrame:
+    ts = c("ts")
+    micros = (F.date_format(ts, "SSSSSS").cast("int") * 10).cast("int")
+    return t.events.select("event_id", D.datetime2fromparts(F.year(ts), F.month(ts), F.day(ts), F.hour(ts), F.minute(ts), F.second(ts), micros).alias("t"))
+
+
 @query()
 def now_functions(t: Tables) -> DataFrame:
     return t.region.select("r_regionkey", D.now().alias("now"), F.current_date().alias("today"))
