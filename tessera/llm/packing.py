@@ -17,9 +17,12 @@ spans as many windows as it needs. Sequence ids are unique and rise with the ord
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -33,62 +36,128 @@ WINDOW = 4096
 END = 2
 BLOCK = 64 * WINDOW
 STRIDE = 32
+#: Words in a line that is encoded at once.
+LINE = 500
 #: Penalties in tokens of padding for cutting at a sentence's end, and inside a sentence.
 SENTENCE, TORN = 4, 24
-#: Encoded words that a task remembers.
-CACHE = 400_000
+#: Encoded words that a worker remembers; beyond it the half that most batches met stays.
+CACHE = 500_000
+#: A word that is one run of letters: ASCII in lower case, or of the block U+00C0 to U+00FF.
+LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: Of every byte: 0 blank, 1 lower-case letter, 2 ASCII symbol other than an apostrophe, 4 anything else.
+KIND = np.array([0 if chr(b) in " \t\n\x0b\f\r" else 1 if 97 <= b <= 122 else 2 if 32 < b < 127 and not chr(b).isalnum() and b != 39 else 4 for b in range(256)], np.uint8)
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-class Words(dict):
-    """Token ids of words as bytes, encoded when first met.
+class Words:
+    """Token ids of words, encoded when first met and remembered.
 
-    The tokenizer drops white space and never merges across it, so a text's ids are those of its
-    words, one after the other. It also lowers case and splits letters from what follows them: an
-    ASCII word's ids are those of its lower-case form, and a last full stop or comma after a letter
-    is a token of its own.
+    The tokenizer lowers case, drops white space, never merges across it, and splits letters from symbols.
+    A text's ids are then those of its words, one after the other. Words are parted further where a letter
+    and an ASCII symbol meet (but for apostrophes, which belong to contractions), and an ASCII letter is lowered
+    where no combining mark may follow it, so that fewer are distinct. Texts with special tokens are encoded whole.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on every core
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def learn(self, words: set[bytes]) -> None:
-        """Encodes the words that are new, all at once."""
-        if len(self) >= CACHE:
-            self.clear()
-        parts: dict[bytes, list[bytes]] = {}
-        plain: dict[bytes, None] = {}
-        for w in words.difference(self):
-            x = w.lower() if w.isascii() and b"<|" not in w else w  # special tokens keep their case
-            own = [x[:-1], x[-1:]] if x[-1:] in (b".", b",") and x[-2:-1].isalpha() else [x]
-            parts[w] = own
-            plain.update(dict.fromkeys(own))
-        new = [w for w in plain if w not in self]
-        for k in range(0, len(new), 20_000):
-            self._encode(new[k : k + 20_000])
-        for w, own in parts.items():
-            if w not in self:
-                self[w] = b"".join(map(self.__getitem__, own))
-
-    def _encode(self, words: list[bytes]) -> None:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        encoded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        begins = np.cumsum([0] + [len(t) + 1 for t in texts])
-        ids = np.array(encoded.ids, "<u4")
-        at = np.fromiter((o[0] for o in encoded.offsets), np.int64, len(ids))
-        cuts = np.searchsorted(at, begins).tolist()
-        data = ids.tobytes()
-        self.update((w, data[4 * a : 4 * b]) for w, a, b in zip(words, cuts, cuts[1:]))
-
-    def sentence_ends(self) -> np.ndarray:
-        """For every id whether its token ends in a full stop, question or exclamation mark."""
         vocabulary = self.tokenizer.get_vocab()
-        marks = np.zeros(max(vocabulary.values()) + 1, bool)
-        marks[[i for t, i in vocabulary.items() if t.removesuffix("</w>")[-1:] in (".", "!", "?")]] = True
-        return marks
+        size = max(vocabulary.values()) + 1
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Of every id: whether its token ends in a full stop, question or exclamation mark; whether it ends a run of letters.
+        self.marks, self.last = np.zeros(size, bool), np.zeros(size, bool)
+        self.marks[[i for t, i in vocabulary.items() if t.removesuffix("</w>")[-1:] in (".", "!", "?")]] = True
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self._forget([], np.empty(0, np.int64))
+
+    def _forget(self, words: list[bytes], hits: np.ndarray) -> None:
+        """Keeps the entries of ``words`` only."""
+        old = [self._ids(w) for w in words]
+        self.number = {w: k for k, w in enumerate(words)}
+        self.hits = hits
+        self.count = np.array([len(x) for x in old], np.int64)
+        self.first = np.cumsum(self.count) - self.count
+        self.pool = np.concatenate(old) if old else np.empty(0, np.uint32)
+
+    def _ids(self, word: bytes) -> np.ndarray:
+        k = self.number[word]
+        return self.pool[self.first[k] : self.first[k] + self.count[k]]
+
+    def _add(self, words: list[bytes]) -> None:
+        """Encodes new words: those that are one run of letters in long lines, the rest one by one."""
+        plain, other = [], []
+        for w in words:
+            (plain if w.isalpha() or LETTERS.fullmatch(w) else other).append(w)
+        lines = [b" ".join(plain[k : k + LINE]).decode() for k in range(0, len(plain), LINE)]
+        ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+        ends = np.flatnonzero(self.last[np.concatenate(ids)]) + 1 if ids else np.empty(0, np.int64)
+        assert len(ends) == len(plain)
+        more = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in other], add_special_tokens=False)]
+        count = np.concatenate([np.diff(ends, prepend=0), np.array([len(x) for x in more], np.int64)])
+        self.number.update(zip(chain(plain, other), range(len(self.number), len(self.number) + len(words))))
+        self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(count) - count])
+        self.count = np.concatenate([self.count, count])
+        self.hits = np.concatenate([self.hits, np.zeros(len(count), np.int64)])
+        self.pool = np.concatenate([self.pool, *ids, *more])
+
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """Entry of each word; new ones are added."""
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.number) > CACHE:
+            best = np.sort(np.argsort(-self.hits, kind="stable")[: CACHE // 2])
+            names = list(self.number)
+            self._forget([names[k] for k in best.tolist()], self.hits[best] // 2)
+        new = [w for w in distinct if w not in self.number]
+        if new:
+            self._add(new)
+        entry = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+        self.hits[entry] += 1
+        return entry[coded.indices.to_numpy()]
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Token ids of each text, with the end token."""
+        whole = {}
+        for k, t in enumerate(texts):
+            low = t.lower()
+            if any(x in low for x in self.special):
+                whole[k] = np.array(self.tokenizer.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
+        texts = [b"" if k in whole else t for k, t in enumerate(texts)]
+        begins, words = split_words(texts)
+        entry = self._numbers(words) if len(words) else np.empty(0, np.int64)
+        count = self.count[entry]
+        done = np.append(0, np.cumsum(count))
+        stream = self.pool[np.repeat(self.first[entry] - done[:-1], count) + np.arange(done[-1])]
+        # a text's words are those that begin before the next text does
+        cuts = done[np.searchsorted(begins, np.cumsum([len(t) + 1 for t in texts]))].tolist()
+        return [np.append(whole.get(k, stream[a:b]), np.uint32(END)) for k, (a, b) in enumerate(zip([0, *cuts], cuts))]
+
+
+@lru_cache(maxsize=1)
+def words_of(path: str) -> Words:
+    """The worker's words, so that its next task needn't learn them anew."""
+    return Words(path)
+
+
+def split_words(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+    """Words of all texts and where each begins, if a blank closes every text; letters are lowered, and words
+    parted, as ``Words`` says."""
+    data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    follows = np.append(data[1:], np.uint8(32))
+    # combining marks are not ASCII and don't start with byte C3
+    upper = (data >= 65) & (data <= 90) & ((follows < 128) | (follows == 0xC3))
+    data = data + (upper.view(np.uint8) << 5)
+    kind = KIND[data]
+    accent = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7))
+    kind[accent] = kind[accent + 1] = 1
+    before = np.append(np.uint8(0), kind[:-1])[: len(kind)]
+    begin = (kind > 0) & ((before == 0) | (kind + before == 3))
+    begins = np.flatnonzero(begin)
+    ends = np.flatnonzero((kind > 0) & np.append(begin[1:] | (kind[1:] == 0), True)[: len(kind)]) + 1
+    places = np.append(0, np.cumsum(ends - begins)).astype(np.int32)
+    return begins, pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(places), pa.py_buffer(data[kind > 0])])
 
 
 def cut_points(ends: np.ndarray, sentences: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
@@ -191,14 +260,12 @@ def packer(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
         words, block, serial = None, None, 0
         for batch in batches:
             if words is None:
-                words = Words(path)
-                block = Block(words.sentence_ends())
+                words = words_of(path)
+                block = Block(words.marks)
                 serial = batch.column("part")[0].as_py() << 33 if batch.num_rows else 0
             rows: list[tuple] = []
-            split = [(t or b"").split() for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            words.learn(set(chain.from_iterable(split)))
-            for doc_id, own in zip(batch.column("doc_id").to_pylist(), split):
-                ids = np.frombuffer(b"".join(map(words.__getitem__, own)) + END.to_bytes(4, "little"), "<u4")
+            texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.encode(texts)):
                 block.add(doc_id, ids)
                 if block.size >= BLOCK:
                     for window in block.cut(False):
@@ -233,7 +300,7 @@ def pack(docs: DataFrame, path: str | None = None, order: Sequence[Column] | Non
     """One row per piece of a document in a window. ``path``: a tokenizer file on every machine; ``order``: columns
     by which the documents follow each other, in place of doc_id."""
     spark = docs.sparkSession
-    small_batches(spark, 500)
+    small_batches(spark, 4000)
     slim = [F.col("doc_id").cast("long"), F.col("text").cast("string")]
     if order is None:
         ordered = docs.select(*slim).repartitionByRange(shuffle_width(spark), "doc_id").sortWithinPartitions("doc_id", "text")

@@ -230,7 +230,19 @@ def test_words_are_tokenised_like_texts():
 
     tok = Tokenizer.from_file(packing.tokenizer_path())
     text = "It's DON'T, a.b.. «x». ﬁne é. É. 12,5. <|endoftext|>. x<|endoftext|>y  z. '. ... I'LL. İ. ΣΣ. ẖ, H̱ ok,"
+    rng = random.Random(3)
+    signs = [*"aAbBzZ.,'!0 \n\t\x0b  éÉèÀß×÷İΣςﬁ漢字̱́HhÅ<|>$", "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'S", "I'LL. "]
+    texts = ["", text, *("".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(5000))]
     words = packing.Words(packing.tokenizer_path())
-    own = text.encode().split()
-    words.learn(set(own))
-    assert np.frombuffer(b"".join(words[w] for w in own), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+    got = words.encode([t.encode() for t in texts])
+    assert [x.tolist() for x in got] == [tok.encode(t, add_special_tokens=False).ids + [packing.END] for t in texts]
+
+
+def test_words_that_are_forgotten_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 40)
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdeé.") for _ in range(rng.randrange(1, 4)))
+    words = packing.Words(packing.tokenizer_path())
+    for _ in range(20):
+        texts = [" ".join(word() for _ in range(9)) for _ in range(8)]
+        assert [x.tolist() for x in words.encode([t.encode() for t in texts])] == [words.tokenizer.encode(t, add_special_tokens=False).ids + [packing.END] for t in texts]
