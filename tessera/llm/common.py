@@ -163,6 +163,23 @@ def block_table(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
     return stage(slim.mapInArrow(_to_blocks(size), BLOCKS), "blocks")
 
 
+#: Which bytes are blanks.
+BLANK_BYTES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+def word_array(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, pa.Array]:
+    """How many words each text has, and the words of all texts in order; ``lower`` turns A-Z into a-z."""
+    data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    if lower:
+        data = data + (((data >= 65) & (data <= 90)).view(np.uint8) << 5)
+    blank = BLANK_BYTES[data]
+    begins = np.flatnonzero(~blank & np.append(True, blank[:-1])[: len(data)])
+    ends = np.flatnonzero(blank & np.append(False, ~blank[:-1])[: len(data)])
+    places = np.append(0, np.cumsum(ends - begins)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(places), pa.py_buffer(data[~blank])])
+    return np.diff(np.searchsorted(begins, np.cumsum([len(t) + 1 for t in texts])), prepend=0), words
+
+
 def open_block(ids: bytes, lengths: bytes, texts: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
     """Document ids, where each text ends, and the texts one after the other."""
     return np.frombuffer(ids, np.int64), np.cumsum(np.frombuffer(lengths, np.int64)), zstandard.decompress(texts)

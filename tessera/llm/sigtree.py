@@ -1,11 +1,15 @@
 """N-gram Jaccard join by signature trees, and the groups of documents that it links.
 
-A document's set is its distinct word shingles, as 64-bit hashes. Equal sets become one class first.
-Two sets of similarity ``T`` or more share one of the first ``(1 - T)`` share of their shingles in any
+Texts are split once: blocks hold documents as numbered words, with a 64-bit hash for each distinct word,
+and every later step makes its shingles from these. A document's set is its distinct word shingles, as 64-bit
+hashes. Equal sets become one class first. Two sets of similarity ``T`` or more share one of the first
+``(1 - T)`` share of their shingles in any
 order common to all. Of the shingles, one in ``SAMPLED`` is looked up in the whole corpus: those of
 one document come first (and can't link), those of several last, so that a shared passage links no
 documents which have enough of their own; else shingles of rare words come first. Classes that share such a shingle and
 whose sizes fit are put in one cell; a cell is a connected part of that relation and no link leaves it.
+Cells stand for the upper levels of the tree: signatures of unrelated documents, OR-combined, would hold
+every bit and prune nothing. Only the sets of cells of two classes or more travel.
 
 Within a cell a signature tree finds the links: leaves hold the token bitmaps and sizes of documents,
 inner nodes the OR of their bitmaps and the range of their sizes. A dual traversal drops pairs of
@@ -14,7 +18,7 @@ on the full sets, unless they are connected already, as only the groups are aske
 are dealt over pages: every page first meets the cell's first page. Those that this leaves in
 several groups form smaller cells anew, by neighbouring bands of sizes, whose pages all meet.
 
-Word frequencies are those of words that are frequent within a batch of documents, at most
+Word frequencies are those of words that stand ``OFTEN`` times in a block of documents, at most
 ``FREQUENT`` of them; they decide on speed alone, never on results.
 
 Defined results: words are runs of other characters than ASCII blanks, A-Z in lower case; texts with
@@ -30,27 +34,63 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, block_table, by_key, mixed, open_block, record_batch, settle, shuffle_width, small_batches, stage, stream_by
+from .common import BLOCK_BYTES, NULL_ID, by_key, mixed, record_batch, settle, shuffle_width, small_batches, stage, stream_by, word_array
 from .components import components
 from .runindex import ANCHORS, FOUND, bucket_count, repeated_hashes
-from .superkmers import Hashes
 
 FREQUENT = 1 << 17
+#: Times that a word stands in a block from which it takes part in the count of frequent words.
+OFTEN = 4
 PAGE = 400_000  # shingles of a page
-LEAF = 16
+LEAF = 8
 #: One shingle in so many is looked up in the whole corpus.
 SAMPLED = np.uint64(3)
-FEATURES = "doc_id long, n_shingles long, s1 long, s2 long, prefix array<long>"
+BLOCKS = "block long, raw_bytes long, ids binary, counts binary, words binary, codes binary, often binary"
+FEATURES = "doc_id long, block long, place int, n_shingles long, s1 long, s2 long, prefix array<long>"
+SETS = "doc_id long, cell long, pages long, page long, shingles binary"
 LINKS = "a long, b long"
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_hashes(text: bytes, hashes: Hashes) -> np.ndarray:
-    words = text.lower().split()  # of bytes: lowers A-Z only
-    return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+def _to_blocks(size: int):
+    """Blocks of documents as numbered words: the hashes of the block's distinct words, and a number for each word."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, serial = TaskContext.get().partitionId(), 0
+        ids: list[int] = []
+        texts: list[bytes] = []
+        held = 0
+
+        def block() -> pa.RecordBatch:
+            counts, words = word_array(texts, lower=True)
+            coded = words.dictionary_encode()
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+            codes = coded.indices.to_numpy().astype("<u4")
+            times = np.bincount(codes, minlength=len(hashes))
+            often = np.flatnonzero(times >= OFTEN)
+            rows = [(part << 33 | serial, held, np.array(ids, np.int64).tobytes(), counts.tobytes(), hashes.tobytes(), zstandard.compress(codes.tobytes(), 1), np.stack([hashes[often].view(np.int64), times[often]]).tobytes())]
+            return record_batch(rows, BLOCKS)
+
+        for batch in batches:
+            for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+                ids.append(i)
+                texts.append(t or b"")
+                held += len(texts[-1])
+                if held >= size or len(ids) >= 1 << 17:
+                    yield block()
+                    serial, held = serial + 1, 0
+                    ids.clear()
+                    texts.clear()
+        if ids:
+            yield block()
+
+    return build
 
 
 def shingle_row(h: np.ndarray, words_each: int) -> np.ndarray:
@@ -66,9 +106,33 @@ def shingle_row(h: np.ndarray, words_each: int) -> np.ndarray:
     return mixed(out)
 
 
-def shingles(text: bytes, words_each: int, hashes: Hashes) -> np.ndarray:
-    """Sorted hashes of the distinct shingles."""
-    return np.unique(shingle_row(word_hashes(text, hashes), words_each))
+class Shingles:
+    """The shingles of a block's documents, one document after the other, in the order of the texts."""
+
+    def __init__(self, row: dict, words_each: int):
+        self.ids, counts = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["counts"], np.int64)
+        self.words = np.frombuffer(row["words"], np.uint64)
+        self.codes = np.frombuffer(zstandard.decompress(row["codes"]), "<u4")
+        h = self.words[self.codes]
+        self.width = np.minimum(counts, words_each)
+        self.own = counts - self.width + (counts > 0)
+        self.ends = np.cumsum(self.own)
+        self.doc = np.repeat(np.arange(len(counts)), self.own)
+        #: Number of the word at which each shingle starts.
+        begins = np.cumsum(counts) - counts
+        self.at = np.repeat(begins - (self.ends - self.own), self.own) + np.arange(self.own.sum())
+        whole = shingle_row(h, words_each) if len(h) >= words_each else np.empty(0, np.uint64)
+        self.values = whole[np.minimum(self.at, max(len(whole) - 1, 0))] if len(whole) else np.zeros(len(self.at), np.uint64)
+        for k in np.flatnonzero((counts > 0) & (counts < words_each)).tolist():
+            self.values[self.ends[k] - 1] = shingle_row(h[begins[k] : begins[k] + counts[k]], words_each)[0]
+
+    def distinct(self) -> np.ndarray:
+        """Places of each document's distinct shingles, in the order of documents and then of hashes."""
+        if not len(self.values):
+            return np.empty(0, np.int64)
+        order = np.concatenate([a + np.argsort(self.values[a:b]) for a, b in zip((self.ends - self.own).tolist(), self.ends.tolist()) if b > a])
+        v = self.values[order]
+        return order[np.append(True, (v[1:] != v[:-1]) | (self.doc[order[1:]] != self.doc[order[:-1]]))]
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -76,12 +140,10 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = Hashes()
     for batch in batches:
-        rows = [word_hashes(t or b"", hashes) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-        values, counts = np.unique(np.concatenate(rows), return_counts=True) if rows else (np.empty(0, np.uint64), np.empty(0, int))
-        often = counts >= 4
-        yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], ["word", "n"])
+        for own in batch.column("often").to_pylist():
+            words, counts = np.frombuffer(own, np.int64).reshape(2, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts)], ["word", "n"])
 
 
 class Weights:
@@ -107,58 +169,92 @@ def _sampled(words_each: int, buckets: int):
     """The block's sampled shingles, and whether one or more of its documents hold each."""
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
-        for batch in batches:
-            for row in batch.to_pylist():
-                _, ends, data = open_block(row["ids"], row["lengths"], row["texts"])
-                own = [u[u % SAMPLED == 0] for u in (shingles(data[x:y], words_each, hashes) for x, y in zip([0, *ends.tolist()], ends.tolist()))]
-                values, counts = np.unique(np.concatenate(own), return_counts=True)
-                goal = ((values >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(goal, kind="stable")
-                cuts = np.flatnonzero(np.diff(goal[order], prepend=-1)).tolist() + [len(order)]
-                rows = [(int(goal[order[x]]), row["block"], values[order[x:y]].tobytes(), np.minimum(counts[order[x:y]], 2).astype(np.uint8).tobytes()) for x, y in zip(cuts, cuts[1:])]
-                if rows:
-                    yield record_batch(rows, ANCHORS)
+        for row in (row for batch in batches for row in batch.to_pylist()):
+            x = Shingles(row, words_each)
+            own = np.flatnonzero(x.values % SAMPLED == 0)
+            own = own[np.argsort(x.values[own], kind="stable")]  # those of one document stay together
+            values, docs = x.values[own], x.doc[own]
+            at = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(own) else own
+            several = docs[at] != docs[np.append(at[1:], len(own)) - 1]
+            goal = ((values[at] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(goal, kind="stable")
+            cuts = np.flatnonzero(np.diff(goal[order], prepend=-1)).tolist() + [len(order)]
+            rows = [(int(goal[order[a]]), row["block"], values[at[order[a:b]]].tobytes(), (1 + several[order[a:b]]).astype(np.uint8).tobytes()) for a, b in zip(cuts, cuts[1:])]
+            if rows:
+                yield record_batch(rows, ANCHORS)
 
     return sampled
 
 
 def _features(words_each: int, percent: int, words: np.ndarray, counts: np.ndarray):
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, weights = Hashes(), Weights(words, counts)
+        weights = Weights(words, counts)
         for row in (row for batch in batches for row in batch.to_pylist()):
-            ids, ends, data = open_block(row["ids"], row["lengths"], row["texts"])
-            shared = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in row["found"] or [b""]]))
-            n, s1, s2, prefixes = [], [], [], []
-            for begin, end in zip([0, *ends.tolist()], ends.tolist()):
-                h = word_hashes(data[begin:end], hashes)
-                u, at = np.unique(shingle_row(h, words_each), return_index=True)
-                n.append(len(u))
-                s1.append(int(u.sum(dtype=np.uint64).view(np.int64)))
-                s2.append(int(mixed(u ^ PRIME).sum(dtype=np.uint64).view(np.int64)))
-                if not len(u):
-                    prefixes.append(np.empty(0, np.int64))
-                    continue
-                # shingles known to be of one document come first, those known to be of several last
-                rank = np.where(u % SAMPLED == 0, 2 * np.isin(u, shared, assume_unique=True), 1)
-                sums = np.cumsum(np.append(0, weights.of(h)))
-                k = min(len(h), words_each)
-                order = np.lexsort(((sums[k:] - sums[:-k])[at], rank))[: prefix_length(len(u), percent)]  # ties in the order of the hashes
-                # a shingle of one document meets no other
-                prefixes.append(u[order[rank[order] > 0]].view(np.int64))
-            lengths = np.cumsum([0] + [len(x) for x in prefixes])
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(prefixes)))], ["doc_id", "n_shingles", "s1", "s2", "prefix"])
+            x = Shingles(row, words_each)
+            shared = np.unique(np.concatenate([np.frombuffer(f, np.uint64) for f in row["found"] or [b""]]))
+            at = x.distinct()
+            u, doc, docs = x.values[at], x.doc[at], len(x.ids)
+            n = np.bincount(doc, minlength=docs)
+            ends = np.cumsum(n)
+            sums = lambda v: np.diff(np.append(np.uint64(0), np.cumsum(v))[np.append(0, ends)]).view(np.int64)
+            # shingles known to be of one document come first, those known to be of several last
+            rank = np.ones(len(u), np.int8)
+            known = np.flatnonzero(u % SAMPLED == 0)
+            rank[known] = 2 * np.isin(u[known], shared)
+            alone = np.bincount(doc[rank == 0], minlength=docs)
+            # a shingle of one document meets no other, so only the rest of a prefix is kept
+            rest = np.where(n > 0, prefix_length(n, percent), 0) - alone
+            weight = np.cumsum(np.append(0, weights.of(x.words)[x.codes]))
+            prefixes = [np.empty(0, np.uint64)] * docs
+            for k in np.flatnonzero(rest > 0).tolist():
+                own = np.arange(ends[k] - n[k], ends[k])
+                own = own[rank[own] > 0]
+                heavy = weight[x.at[at[own]] + x.width[k]] - weight[x.at[at[own]]]
+                prefixes[k] = u[own[np.lexsort((heavy, rank[own]))[: rest[k]]]]  # ties in the order of the hashes
+            lengths = np.cumsum([0] + [len(v) for v in prefixes])
+            lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate([*prefixes, np.empty(0, np.uint64)]).view(np.int64)))
+            columns = [pa.array(x.ids), pa.array(np.full(docs, row["block"], np.int64)), pa.array(np.arange(docs, dtype=np.int32)), pa.array(n.astype(np.int64)), pa.array(sums(u)), pa.array(sums(mixed(u ^ PRIME))), lists]
+            yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in FEATURES.split(", ")])
 
     return features
 
 
-def _ordered_prefixes(docs: DataFrame, words_each: int, percent: int, words: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """FEATURES of every document: the size of its set, two sums that tell sets apart, and its rarest shingles."""
-    blocks = block_table(docs)
+def _word_blocks(docs: DataFrame) -> DataFrame:
+    return stage(docs.mapInArrow(_to_blocks(BLOCK_BYTES), BLOCKS), "word-blocks")
+
+
+def _ordered_prefixes(blocks: DataFrame, words_each: int, percent: int) -> DataFrame:
+    """FEATURES of every document: where it is, the size of its set, two sums that tell sets apart, and its rarest shingles."""
+    spark = blocks.sparkSession
+    counts = blocks.select("often").mapInArrow(_frequent, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    # at most FREQUENT rows, whatever the corpus
+    common = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    words, often = np.array([r[0] for r in common], np.int64).view(np.uint64), np.array([r[1] for r in common], np.int64)
     buckets = bucket_count(blocks)
-    dealt = stream_by(blocks.mapInArrow(_sampled(words_each, buckets), ANCHORS), "bucket", min(buckets, shuffle_width(docs.sparkSession)), repeated_hashes, FOUND)
+    dealt = stream_by(blocks.mapInArrow(_sampled(words_each, buckets), ANCHORS), "bucket", min(buckets, shuffle_width(spark)), repeated_hashes, FOUND)
     found = dealt.groupBy("block").agg(F.collect_list("hashes").alias("found"))  # bounded by what the block sent
-    return blocks.join(found.hint("merge"), "block", "left").mapInArrow(_features(words_each, percent, words, counts), FEATURES)
+    return blocks.join(found.hint("merge"), "block", "left").mapInArrow(_features(words_each, percent, words, often), FEATURES)
+
+
+def _sets(words_each: int):
+    """SETS of those of a block's documents that are asked for."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (row for batch in batches for row in batch.to_pylist()):
+            x = Shingles(row, words_each)
+            out, held = [], 0
+            for m in row["members"]:
+                k = m["place"]
+                own = np.unique(x.values[x.ends[k] - x.own[k] : x.ends[k]]).tobytes()
+                out.append((int(x.ids[k]), m["cell"], m["pages"], m["page"], own))
+                held += len(own)
+                if held > 4 << 20:
+                    yield record_batch(out, SETS)
+                    out, held = [], 0
+            if out:
+                yield record_batch(out, SETS)
+
+    return sets
 
 
 def _stars(percent: int):
@@ -255,13 +351,12 @@ class SignatureTree:
                         yield p, q
 
 
-def _verify(words_each: int, percent: int):
-    """Links within each task's documents; documents of one ``label`` are known to be connected."""
+def _verify(percent: int):
+    """Links within each task's sets; those of one ``label`` are known to be connected."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         for _, rows in by_key(batches, "task"):
-            sets = [shingles(r["text"] or b"", words_each, hashes) for r in rows]
+            sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
             groups = Groups(len(rows))
             known: dict[int, int] = {}
             for k, r in enumerate(rows):
@@ -273,9 +368,9 @@ def _verify(words_each: int, percent: int):
     return verify
 
 
-def _run_tasks(tasks: DataFrame, words_each: int, percent: int, tag: str) -> DataFrame:
-    dealt = tasks.select("task", "doc_id", "label", F.col("text").cast("binary").alias("text")).repartition(4 * shuffle_width(tasks.sparkSession), "task").sortWithinPartitions("task")
-    return stage(dealt.mapInArrow(_verify(words_each, percent), LINKS), tag)
+def _run_tasks(tasks: DataFrame, percent: int, tag: str) -> DataFrame:
+    dealt = tasks.select("task", "doc_id", "label", "shingles").repartition(4 * shuffle_width(tasks.sparkSession), "task").sortWithinPartitions("task")
+    return stage(dealt.mapInArrow(_verify(percent), LINKS), tag)
 
 
 def jaccard_groups(docs: DataFrame, words_each: int = 3, percent: int = 90) -> DataFrame:
@@ -284,14 +379,18 @@ def jaccard_groups(docs: DataFrame, words_each: int = 3, percent: int = 90) -> D
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    counts = docs.select("text").mapInArrow(_frequent, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    # at most FREQUENT rows, whatever the corpus
-    common = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    words, often = np.array([r[0] for r in common], np.int64).view(np.uint64), np.array([r[1] for r in common], np.int64)
-    features = settle(spark, lambda: _ordered_prefixes(docs, words_each, percent, words, often), "shingle-features")
+    return settle(spark, lambda: _groups(docs, words_each, percent), "jaccard-groups")
+
+
+def _groups(docs: DataFrame, words_each: int, percent: int) -> DataFrame:
+    spark = docs.sparkSession
+    blocks = _word_blocks(docs)
+    features = stage(_ordered_prefixes(blocks, words_each, percent), "shingle-features")
     key = ["n_shingles", "s1", "s2"]
-    classes = stage(features.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")), "shingle-classes")
-    groups = settle(spark, lambda: _class_groups(docs, classes, words_each, percent), "class-groups")
+    first = F.min(F.struct("doc_id", "block", "place", "prefix")).alias("first")
+    classes = features.where("n_shingles > 0").groupBy(*key).agg(first)
+    classes = stage(classes.select(*key, F.col("first.doc_id").alias("rep"), "first.block", "first.place", "first.prefix"), "shingle-classes")
+    groups = settle(spark, lambda: _class_groups(blocks, classes, words_each, percent), "class-groups")
     named = classes.join(groups.withColumnsRenamed({"node": "rep"}), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component"))
     joined = features.select("doc_id", *key).join(named.hint("merge"), key, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).alias(c)
@@ -305,13 +404,13 @@ def _near(postings: DataFrame, percent: int) -> DataFrame:
 
 
 def _cell_members(classes: DataFrame, percent: int) -> DataFrame:
-    """(node, component, n_shingles): the classes that share a shingle of their prefixes with another, by cell."""
+    """(node, component, n_shingles, block, place): the classes that share a shingle of their prefixes with another, by cell."""
     postings = classes.select(F.explode("prefix").alias("token"), F.col("n_shingles").alias("n"), F.col("rep").alias("doc"))
     cells = components(stage(_near(postings, percent), "cell-edges"))
-    return cells.join(classes.select(F.col("rep").alias("node"), "n_shingles"), "node")
+    return cells.join(classes.select(F.col("rep").alias("node"), "n_shingles", "block", "place"), "node")
 
 
-def _banded_links(large: DataFrame, found: DataFrame, classes: DataFrame, words_each: int, percent: int) -> DataFrame:
+def _banded_links(large: DataFrame, found: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Links between the groups that their first page leaves large cells in.
 
     Sets link within a band of sizes or to the next band only, so these classes form new cells for every
@@ -335,24 +434,23 @@ def _banded_links(large: DataFrame, found: DataFrame, classes: DataFrame, words_
     several = F.filter(pairs, lambda q: (q["x"] != q["y"]) | (F.col("pages") == 1))
     tasks = paged.select("doc_id", "label", "component", F.explode(several).alias("pair")).select(F.col("doc_id").alias("node"), "label", F.xxhash64("component", "pair.x", "pair.y").alias("task"))
     tasks = stage(tasks.distinct(), "band-tasks")
-    texts = large.select("doc_id", "text")
-    return _run_tasks(texts.join(tasks.hint("merge"), texts["doc_id"] == tasks["node"]), words_each, percent, "links-second")
+    return _run_tasks(large.select("doc_id", "shingles").join(tasks.hint("merge"), F.col("doc_id") == F.col("node")), percent, "links-second")
 
 
-def _class_groups(docs: DataFrame, classes: DataFrame, words_each: int, percent: int) -> DataFrame:
+def _class_groups(blocks: DataFrame, classes: DataFrame, words_each: int, percent: int) -> DataFrame:
     """(node, component) of the classes that have links."""
-    spark = docs.sparkSession
+    spark = blocks.sparkSession
     members = settle(spark, lambda: _cell_members(classes, percent), "cell-members")
     sizes = members.groupBy("component").agg(F.ceil(F.sum("n_shingles") / PAGE).alias("pages"))
-    paged = members.join(sizes, "component").select("node", F.col("component").alias("cell"), "pages", F.pmod(F.xxhash64("node"), F.col("pages")).alias("page"))
-    texts = docs.join(paged.hint("merge"), docs["doc_id"] == paged["node"]).drop("node")
-    texts = stage(texts, "cell-texts")
+    member = F.struct("place", F.col("component").alias("cell"), "pages", F.pmod(F.xxhash64("node"), F.col("pages")).alias("page"))
+    asked = members.join(sizes, "component").groupBy("block").agg(F.collect_list(member).alias("members"))  # bounded by the block's documents
+    sets = stage(blocks.join(asked.hint("merge"), "block").mapInArrow(_sets(words_each), SETS), "cell-sets")
 
     # the first page meets every page
     others = F.when((F.col("page") == 0) & (F.col("pages") > 1), F.sequence(F.lit(1), F.col("pages") - 1)).otherwise(F.array(F.col("page")))
-    first = texts.withColumn("other", F.explode(others)).withColumn("task", F.xxhash64("cell", "other")).withColumn("label", F.col("doc_id"))
-    links = _run_tasks(first, words_each, percent, "links-first")
-    large = texts.where("pages > 1")
+    first = sets.withColumn("other", F.explode(others)).withColumn("task", F.xxhash64("cell", "other")).withColumn("label", F.col("doc_id"))
+    links = _run_tasks(first, percent, "links-first")
+    large = sets.where("pages > 1")
     if not large.isEmpty():
-        links = links.unionByName(settle(spark, lambda: _banded_links(large, components(links), classes, words_each, percent), "links-banded"))
+        links = links.unionByName(settle(spark, lambda: _banded_links(large, components(links), classes, percent), "links-banded"))
     return components(links)
