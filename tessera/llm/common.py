@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +31,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a folder of this process only where none is set, as in tests."""
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share. Where it is unset, a local master uses a
+    folder of this process, as in tests; a cluster gets an error, as executors couldn't see that folder."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", folder)
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
@@ -99,15 +102,16 @@ def attach(rows: DataFrame, table: DataFrame, keys: list[str], salts: int = 16)
     it is repeated ``salts`` times and the rows of a key are dealt over the copies, so that a key
     with a third of all rows doesn't end in one task. ``table`` should be staged: it is counted.
     """
-    right = table.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in table.columns if c not in keys])
-    on = [rows[k].eqNullSafe(right[f"__{k}"]) for k in keys]
+    own = {k: fresh(rows, f"key_{k}") for k in keys}
+    right = table.select(*[F.col(k).alias(own[k]) for k in keys], *[c for c in table.columns if c not in keys])
+    on = [rows[k].eqNullSafe(right[own[k]]) for k in keys]
     if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        joined = rows.join(F.broadcast(right), on, "left")
-        return joined.drop(*[f"__{k}" for k in keys])
-    right = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    left = rows.withColumn("__deal", F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)).cast("int"))
-    on = [left[k].eqNullSafe(right[f"__{k}"]) for k in keys] + [left["__deal"] == right["__salt"]]
-    return left.join(right, on, "left").drop("__deal", "__salt", *[f"__{k}" for k in keys])
+        return rows.join(F.broadcast(right), on, "left").drop(*own.values())
+    salt, deal = fresh(rows, "salt"), fresh(rows, "deal")
+    right = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    left = rows.withColumn(deal, F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)).cast("int"))
+    on = [left[k].eqNullSafe(right[own[k]]) for k in keys] + [left[deal] == right[salt]]
+    return left.join(right, on, "left").drop(deal, salt, *own.values())
 
 
 def word_count(text: Column) -> Column:
@@ -115,8 +119,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def columns_of(df: DataFrame, names: Iterable[str]) -> list[Column]:
-    return [F.col(n) for n in names]
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table doesn't have yet, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 #: Text bytes in a block of documents.

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, settle, small_batches, stage
+from .common import WORD, fresh, settle, small_batches, stage
 
 MIN_LINES = 2
 #: A line of more words than this is a passage: the pipeline counts a copy of it as a run.
@@ -129,16 +129,16 @@ def without_runs(text: bytes, starts: list[int], min_lines: int, alone: Iterable
     return b"\n".join(kept), len(gone), runs
 
 
-def _remove(min_lines: int):
+def _remove(min_lines: int, starts: str, alone: str):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, lines, runs = [], [], []
-            for text, starts, alone in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("__starts").to_pylist(), b.column("__alone").to_pylist()):
-                new = without_runs(text, starts or [], min_lines, alone or []) if text is not None and (starts or alone) else (text, 0, 0)
+            for text, s, a in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column(starts).to_pylist(), b.column(alone).to_pylist()):
+                new = without_runs(text, s or [], min_lines, a or []) if text is not None and (s or a) else (text, 0, 0)
                 texts.append(new[0])
                 lines.append(new[1])
                 runs.append(new[2])
-            keep = [n for n in b.schema.names if n not in ("text", "__starts", "__alone", "lines_removed", "runs_removed")]
+            keep = [n for n in b.schema.names if n not in ("text", starts, alone)]
             yield pa.RecordBatch.from_arrays([*[b.column(n) for n in keep], pa.array(texts, pa.binary()).cast(pa.string()), pa.array(lines, pa.int64()), pa.array(runs, pa.int64())], [*keep, "text", "lines_removed", "runs_removed"])
 
     return remove
@@ -149,10 +149,11 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | No
     lines and runs went (lines_removed, runs_removed). Runs have ``min_lines`` lines, or with ``min_words``
     one line of more words than that."""
     small_batches(docs.sparkSession)
-    docs = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
-    starts = settle(docs.sparkSession, lambda: repeated_lines(docs, min_lines, min_words), "line-runs").select(F.col("doc_id").alias("__doc"), F.col("copy").alias("__copy"), F.col("starts").alias("__starts"), F.col("alone").alias("__alone"))
+    docs = docs.drop("lines_removed", "runs_removed").withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
+    own = {n: fresh(docs, n) for n in ("doc", "copy", "starts", "alone")}
+    starts = settle(docs.sparkSession, lambda: repeated_lines(docs, min_lines, min_words), "line-runs").withColumnRenamed("doc_id", "doc").withColumnsRenamed(own)
     # the same plan at every size: texts are dealt once, never held against a broadcast
-    joined = docs.join(starts.hint("merge"), docs["doc_id"].eqNullSafe(starts["__doc"]) & (F.xxhash64(docs["text"]) == starts["__copy"]), "left")
-    joined = joined.select(*[docs[c] for c in docs.columns if c not in ("__starts", "__alone")], starts["__starts"], starts["__alone"])
-    schema = ", ".join([f"`{n}` {t}" for n, t in docs.dtypes if n not in ("text", "__starts", "__alone", "lines_removed", "runs_removed")] + ["text string", "lines_removed long", "runs_removed long"])
-    return joined.mapInArrow(_remove(min_lines), schema)
+    joined = docs.join(starts.hint("merge"), docs["doc_id"].eqNullSafe(starts[own["doc"]]) & (F.xxhash64(docs["text"]) == starts[own["copy"]]), "left")
+    joined = joined.select(*[docs[c] for c in docs.columns], starts[own["starts"]], starts[own["alone"]])
+    schema = ", ".join([f"`{n}` {t}" for n, t in docs.dtypes if n != "text"] + ["text string", "lines_removed long", "runs_removed long"])
+    return joined.mapInArrow(_remove(min_lines, own["starts"], own["alone"]), schema)

@@ -12,7 +12,7 @@ the hash), running sums over the at most ``BUCKETS`` buckets of a source, then r
 a bucket, so that no task gets a whole source.
 
 Defined results: a null text has size 0; the null source comes last; repeated rows are documents of
-their own (ties in the hash are broken by id, then size); an empty table gives an empty mix; sources
+their own (ties in the hash are broken by id, size and text); an empty table gives an empty mix; sources
 without words have target 0. Extra columns are kept aside.
 """
 
@@ -77,13 +77,14 @@ def invert_schedule(done: Column, rank: Column, schedules: tuple = SCHEDULES) ->
     return choice.otherwise(F.lit(1.0))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, schedules: tuple = SCHEDULES) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, schedules: tuple = SCHEDULES, key: str | None = None) -> DataFrame:
     """doc_id, source, size, source_size, target, taken, position, position2.
 
     ``position`` is the document's training time in the first epoch, ``position2`` in the second
-    (null where the mix doesn't take it then).
+    (null where the mix doesn't take it then). ``key``: a column of ``docs`` that tells its rows apart, returned as ``key``.
     """
-    sized = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"))
+    row = F.lit(None).cast("long") if key is None else F.col(key).cast("long")
+    sized = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("copy"), row.alias("key"))
     sized = sized.withColumn("order", F.xxhash64("doc_id")).withColumn("bucket", F.pmod(F.shiftrightunsigned("order", 20), F.lit(BUCKETS)))
     sized = stage(sized, "mix-sizes")
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
@@ -93,7 +94,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     targets = stage(source_targets(sums.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, share, cap), "mix-targets")
     plan = stage(attach(sums.drop("bucket_size"), targets, ["source"]), "mix-plan")
 
-    within = Window.partitionBy("source", "bucket").orderBy("order", "doc_id", "size")
+    within = Window.partitionBy("source", "bucket").orderBy("order", "doc_id", "size", "copy", "key")
     placed = sized.withColumn("offset", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size"))
     placed = attach(placed, plan, ["source", "bucket"]).withColumn("offset", F.col("offset") + F.col("before"))
     goal = F.round("target").cast("long")
@@ -105,7 +106,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
         return F.when((start < goal) & (F.col("size") > 0), invert_schedule(start / F.greatest(goal, F.lit(1)), F.col("rank"), schedules))
 
     again = F.col("offset") + F.col("source_size")
-    return placed.select("doc_id", "source", "size", "source_size", "target", (part(F.col("offset")) + part(again)).alias("taken"), at(F.col("offset")).alias("position"), at(again).alias("position2"))
+    out = ["doc_id", "source", "size", "source_size", "target"] + ["key"] * (key is not None)
+    return placed.select(*out, (part(F.col("offset")) + part(again)).alias("taken"), at(F.col("offset")).alias("position"), at(again).alias("position2"))
 
 
 def curriculum(docs: DataFrame, **parameters) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import attach, small_batches, stage
 
 SYMBOLS = b"#*$%&|<>"
-STATS = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
+STATS = "doc_id long, lang string, source string, copy long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 
 #: Share of a group's rows that the MCD estimate rests on.
 H = 0.75
@@ -87,14 +87,14 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [text_statistics(t or b"") for t in batch.column("text").cast(pa.binary()).to_pylist()]
         numbers = np.array(rows, np.int64).reshape(len(rows), 6)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), batch.column(2), *[pa.array(numbers[:, k]) for k in range(6)]],
-            ["doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"],
+            [batch.column(0), batch.column(1), batch.column(2), batch.column(3), *[pa.array(numbers[:, k]) for k in range(6)]],
+            ["doc_id", "lang", "source", "copy", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"],
         )
 
 
 def statistics(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("text").cast("string")).mapInArrow(_statistics, STATS)
+    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"), F.xxhash64("text").alias("copy"), F.col("text").cast("string")).mapInArrow(_statistics, STATS)
 
 
 def features() -> list[Column]:
@@ -163,7 +163,8 @@ def outlier_distances(rows: DataFrame) -> DataFrame:
 
 
 def quality(docs: DataFrame) -> DataFrame:
-    """One row per document with its counts, ``base_failed``, ``d2`` and ``kept``."""
+    """One row per document with its counts, ``base_failed``, ``d2`` and ``kept``; ``copy``, the hash of its text, tells
+    rows of one doc_id apart."""
     failed = (F.col("n_words") < 50) | (F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words"))
     rows = stage(statistics(docs).select("*", *features()).withColumn("base_failed", failed), "quality")
     judged = outlier_distances(rows.where(~F.col("base_failed")))

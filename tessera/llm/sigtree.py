@@ -172,9 +172,11 @@ def _sampled(words_each: int, buckets: int):
         for row in (row for batch in batches for row in batch.to_pylist()):
             x = Shingles(row, words_each)
             own = np.flatnonzero(x.values % SAMPLED == 0)
+            if not len(own):
+                continue
             own = own[np.argsort(x.values[own], kind="stable")]  # those of one document stay together
             values, docs = x.values[own], x.doc[own]
-            at = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(own) else own
+            at = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
             several = docs[at] != docs[np.append(at[1:], len(own)) - 1]
             goal = ((values[at] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(goal, kind="stable")
