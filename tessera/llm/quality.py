@@ -2,16 +2,18 @@
 
 Per-document statistics are counted from whole texts; fixed rules reject what is too short or too
 repetitive; of the rest, a minimum-covariance-determinant (MCD) estimate per language and source
-gives each document a Mahalanobis distance, and far outliers on the bad side are rejected.
+gives each document a Mahalanobis distance, and documents beyond a chi-square quantile are rejected.
 
 The estimate is distributed: concentration steps (keep the ``H`` share of rows with the smallest
 distance, estimate mean and covariance from them again) are plain grouped aggregations over the
-slim statistics table, from a deterministic start (medians and interquartile ranges). A hot group
-is reduced map-side like any other; nothing gathers a group's rows.
+slim statistics table, from one deterministic start (medians and interquartile ranges), until no centre
+moves any more, or ``STEPS`` times. The covariance takes the consistency factor of a normal law, and no
+statistic's deviation is taken for smaller than its floor. A hot group is reduced map-side like any other;
+nothing gathers a group's rows.
 
 Defined results: a null text counts as empty (no words, so the fixed rules reject it). Null
-languages or sources are groups of their own. Groups with fewer than ``MIN_GROUP`` rows use the
-estimate of all groups together. Extra columns are ignored. Repeated rows are judged alike.
+languages or sources are groups of their own. Groups with fewer than ``MIN_GROUP`` rows are judged by the
+estimate over the rows of all groups, small and large. Extra columns are ignored. Repeated rows are judged alike.
 """
 
 from __future__ import annotations
@@ -29,18 +31,20 @@ from .common import attach, small_batches, stage
 SYMBOLS = b"#*$%&|<>"
 STATS = "doc_id long, lang string, source string, copy long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 
-#: Share of a group's rows that the MCD estimate rests on.
+#: Share of a group's rows that the MCD estimate rests on, and the factor by which the covariance of that share falls
+#: short for a normal law in four dimensions.
 H = 0.75
-STEPS = 3
+CONSISTENCY = 1.4864
+#: Concentration steps at most, and how far a centre may move for the estimate to stand still.
+STEPS = 8
+STILL = 1e-4
 MIN_GROUP = 100
-#: Squared Mahalanobis distance beyond which a document is an outlier (chi-square, 4 degrees,
-#: tail about 1e-20: the statistics of clean prose have longer tails than a normal law's).
-CUT = 100.0
-MEDIAN_CHI2 = 3.3567  # of the chi-square law with 4 degrees of freedom
+#: Squared Mahalanobis distance beyond which a document is an outlier: the chi-square law with 4 degrees of freedom, tail 1e-5.
+CUT = 28.4733
 FEATURES = ["f0", "f1", "f2", "f3"]
-#: Smallest standard deviation taken for each transformed statistic: without it a group in which
-#: a statistic hardly varies would reject documents for nothing.
-FLOOR = [0.06, 0.25, 0.12, 0.1]
+#: Smallest standard deviation of each transformed statistic: most texts have no symbols or repeats at all, and
+#: without it those with a single one would be outliers.
+FLOOR = [0.06, 0.25, 0.15, 0.15]
 
 
 def repeated_window_words(codes: np.ndarray, distinct: int) -> int:
@@ -109,25 +113,25 @@ def features() -> list[Column]:
 
 
 def _invert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Moments of each group -> centre and inverse covariance, with the floor on its spread."""
+    """Moments of each group -> centre and inverse covariance, with the floor under its spread."""
     for x in batches:
         n = np.maximum(x["n"].to_numpy(float), 1.0)
         mean = np.stack([x[f"s{i}"].to_numpy(float) / n for i in range(4)], 1)
         cov = np.empty((len(x), 4, 4))
         for i in range(4):
             for j in range(i, 4):
-                cov[:, i, j] = cov[:, j, i] = x[f"s{i}{j}"].to_numpy(float) / n - mean[:, i] * mean[:, j]
-        cov[:, range(4), range(4)] = np.maximum(cov[:, range(4), range(4)], 0) + np.square(FLOOR)
-        yield pd.DataFrame({"lang": x["lang"], "source": x["source"], "n": x["n"], "center": list(mean), "inverse": list(np.linalg.inv(cov).reshape(len(x), 16))})
+                cov[:, i, j] = cov[:, j, i] = CONSISTENCY * (x[f"s{i}{j}"].to_numpy(float) / n - mean[:, i] * mean[:, j])
+        cov[:, range(4), range(4)] = np.maximum(cov[:, range(4), range(4)], np.square(FLOOR))
+        yield pd.DataFrame({"group": x["group"], "center": list(mean), "inverse": list(np.linalg.inv(cov).reshape(len(x), 16))})
 
 
-ESTIMATE = "lang string, source string, n long, center array<double>, inverse array<double>"
+ESTIMATE = "group string, center array<double>, inverse array<double>"
 
 
 def _estimate(rows: DataFrame, keep: Column) -> DataFrame:
     kept = rows.where(keep)
     sums = [F.sum(f"f{i}").alias(f"s{i}") for i in range(4)] + [F.sum(F.col(f"f{i}") * F.col(f"f{j}")).alias(f"s{i}{j}") for i in range(4) for j in range(i, 4)]
-    moments = kept.groupBy("lang", "source").agg(F.count("*").alias("n"), *sums)
+    moments = kept.groupBy("group").agg(F.count("*").alias("n"), *sums)
     return stage(moments.mapInPandas(_invert, ESTIMATE), "mcd-estimate")
 
 
@@ -136,30 +140,36 @@ def _distance() -> Column:
     return sum((d[i] * d[j] * F.col("inverse")[4 * i + j] for i in range(4) for j in range(4)), F.lit(0.0))
 
 
+def _moved(new: DataFrame, old: DataFrame) -> float:
+    """How far a centre has moved at most; tables of one row per group."""
+    steps = [F.abs(F.col("center")[i] - F.col("before")[i]) for i in range(4)]
+    return new.join(old.select("group", F.col("center").alias("before")), "group").agg(F.max(F.greatest(*steps))).first()[0] or 0.0
+
+
 def outlier_distances(rows: DataFrame) -> DataFrame:
-    """Adds ``d2``, the squared robust distance, scaled so that its median in a group is the
-    chi-square law's, and ``center`` of the group. ``rows``: staged, with lang, source and the features."""
-    keys = ["lang", "source"]
-    rows = rows.withColumnsRenamed({"lang": "lang0", "source": "source0"})
-    # small groups take part in one common group
-    counts = stage(rows.groupBy("lang0", "source0").agg(F.count("*").alias("group_rows")), "mcd-groups")
+    """Adds ``d2``, the squared robust distance. ``rows``: staged, with lang, source and the features."""
+    counts = stage(rows.groupBy("lang", "source").agg(F.count("*").alias("group_rows")), "mcd-groups")
     large = F.col("group_rows") >= MIN_GROUP
-    rows = attach(rows, counts, ["lang0", "source0"])
-    rows = rows.withColumn("lang", F.when(large, F.concat(F.lit("="), F.coalesce("lang0", F.lit("\0")))).otherwise("*")).withColumn("source", F.when(large, F.concat(F.lit("="), F.coalesce("source0", F.lit("\0")))).otherwise("*"))
+    own = F.struct(F.when(large, F.to_json(F.struct("lang", "source"))).alias("group"), large.alias("judged"))
+    all_rows = F.struct(F.lit("*").alias("group"), (~large).alias("judged"))
+    # every row takes part in the estimate over all, and in its group's if that is large
+    rows = attach(rows, counts, ["lang", "source"]).withColumn("g", F.explode(F.filter(F.array(own, all_rows), lambda g: g["group"].isNotNull())))
+    rows = stage(rows.drop("group_rows").select("*", "g.group", "g.judged").drop("g"), "mcd-rows")
     quartiles = [F.percentile_approx(f, [0.25, 0.5, 0.75], 2000).alias(f"q_{f}") for f in FEATURES]
-    start = stage(rows.groupBy(*keys).agg(*quartiles), "mcd-start")
-    step = attach(rows, start, keys)
-    scaled = [(F.col(f) - F.col(f"q_{f}")[1]) / ((F.col(f"q_{f}")[2] - F.col(f"q_{f}")[0]) / 1.35 + F.lit(FLOOR[i])) for i, f in enumerate(FEATURES)]
-    step = step.withColumn("d2", sum((x * x for x in scaled), F.lit(0.0)))
+    start = stage(rows.groupBy("group").agg(*quartiles), "mcd-start")
+    slim = rows.select("group", *FEATURES)
+    spread = [F.greatest((F.col(f"q_{f}")[2] - F.col(f"q_{f}")[0]) / 1.35, F.lit(FLOOR[i])) for i, f in enumerate(FEATURES)]
+    scaled = [(F.col(f) - F.col(f"q_{f}")[1]) / spread[i] for i, f in enumerate(FEATURES)]
+    step = attach(slim, start, ["group"]).withColumn("d2", sum((x * x for x in scaled), F.lit(0.0)))
     center = None
     for _ in range(STEPS):
-        limits = stage(step.groupBy(*keys).agg(F.percentile_approx("d2", H, 2000).alias("limit")), "mcd-limit")
-        center = _estimate(attach(step.select(*keys, *FEATURES, "d2"), limits, keys), F.col("d2") <= F.col("limit"))
-        step = attach(rows, center.drop("n"), keys).withColumn("d2", _distance())
-    scale = stage(step.groupBy(*keys).agg(F.percentile_approx("d2", 0.5, 2000).alias("middle")), "mcd-scale")
-    # a middle under the law's own would only widen distances in groups that hardly vary: the floor counts there
-    out = attach(step, scale, keys).withColumn("d2", F.col("d2") * F.least(F.lit(1.0), F.lit(MEDIAN_CHI2) / F.greatest("middle", F.lit(1e-9))))
-    return out.drop(*keys, "middle", "inverse", "group_rows").withColumnsRenamed({"lang0": "lang", "source0": "source"})
+        limits = stage(step.groupBy("group").agg(F.percentile_approx("d2", H, 2000).alias("limit")), "mcd-limit")
+        before, center = center, _estimate(attach(step.select("group", *FEATURES, "d2"), limits, ["group"]), F.col("d2") <= F.col("limit"))
+        step = attach(slim, center, ["group"]).withColumn("d2", _distance())
+        if before is not None and _moved(center, before) <= STILL:
+            break
+    judged = attach(rows.where("judged"), center, ["group"]).withColumn("d2", _distance())
+    return judged.drop("group", "judged", "center", "inverse")
 
 
 def quality(docs: DataFrame) -> DataFrame:
@@ -167,9 +177,6 @@ def quality(docs: DataFrame) -> DataFrame:
     rows of one doc_id apart."""
     failed = (F.col("n_words") < 50) | (F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words"))
     rows = stage(statistics(docs).select("*", *features()).withColumn("base_failed", failed), "quality")
-    judged = outlier_distances(rows.where(~F.col("base_failed")))
-    # Only an excess of symbols or repeats, or odd word lengths, is junk; fewer repeats than usual is not.
-    bad_side = (F.col("f1") > F.col("center")[1] + FLOOR[1]) | (F.col("f2") > F.col("center")[2] + FLOOR[2]) | (F.col("f3") > F.col("center")[3] + FLOOR[3]) | (F.abs(F.col("f0") - F.col("center")[0]) > 4 * FLOOR[0])
-    judged = judged.withColumn("kept", ~((F.col("d2") > CUT) & bad_side)).drop("center")
+    judged = outlier_distances(rows.where(~F.col("base_failed"))).withColumn("kept", F.col("d2") <= CUT)
     rest = rows.where("base_failed").withColumn("d2", F.lit(None).cast("double")).withColumn("kept", F.lit(False))
     return judged.unionByName(rest).drop("n_lines", *FEATURES)

@@ -180,6 +180,44 @@ def test_quality_outliers(spark):
     assert {k for k, v in kept.items() if not v} == set(range(0, 400, 20))
 
 
+def brute_mcd(x):
+    """Centre and inverse covariance of one group by concentration steps on all its rows."""
+    floor = np.array(quality.FLOOR)
+    low, middle, high = np.percentile(x, [25, 50, 75], 0, method="inverted_cdf")
+    d2 = (((x - middle) / np.maximum((high - low) / 1.35, floor)) ** 2).sum(1)
+    center = None
+    for _ in range(quality.STEPS):
+        kept = x[d2 <= np.quantile(d2, quality.H, method="inverted_cdf")]
+        before, center = center, kept.mean(0)
+        cov = np.cov(kept.T, bias=True) * quality.CONSISTENCY
+        cov[range(4), range(4)] = np.maximum(cov[range(4), range(4)], floor**2)
+        inverse = np.linalg.inv(cov)
+        d2 = np.einsum("ij,jk,ik->i", x - center, inverse, x - center)
+        if before is not None and np.abs(center - before).max() <= quality.STILL:
+            break
+    return center, inverse
+
+
+def test_robust_distances(spark):
+    rng = np.random.default_rng(6)
+    groups = [("en", "a", 300), ("en", None, quality.MIN_GROUP), (None, "b", quality.MIN_GROUP - 1), ("de", "a", 40)]
+    keys = [(lang, source) for lang, source, n in groups for _ in range(n)]
+    shift = {k: v for k, v in zip(dict.fromkeys(keys), (0.0, 0.4, -0.3, 0.2))}
+    x = rng.normal(0, [0.1, 0.4, 0.05, 0.3], (len(keys), 4)) + np.array([[shift[k]] * 4 for k in keys])
+    x[:, 3] += 0.7 * x[:, 1]
+    x[::17] += [1.0, 3.0, 0.0, -2.0]
+    df = spark.createDataFrame([(k, *keys[k], *x[k].tolist()) for k in range(len(keys))], "doc_id long, lang string, source string, f0 double, f1 double, f2 double, f3 double").repartition(3)
+    got = {r.doc_id: r.d2 for r in quality.outlier_distances(df).collect()}
+    assert len(got) == len(keys)
+    pooled = brute_mcd(x)
+    for lang, source, n in groups:
+        own = np.array([k == (lang, source) for k in keys])
+        center, inverse = brute_mcd(x[own]) if n >= quality.MIN_GROUP else pooled
+        want = np.einsum("ij,jk,ik->i", x[own] - center, inverse, x[own] - center)
+        assert np.allclose([got[i] for i in np.flatnonzero(own).tolist()], want, rtol=1e-6, atol=1e-9)
+        assert (want[np.flatnonzero(own) % 17 == 0] > quality.CUT).all()
+
+
 def test_best_cuts_are_optimal():
     rng = random.Random(9)
     for _ in range(30):
