@@ -5,9 +5,11 @@ longer than ``SEGMENT`` bytes is split into segments: the first record carries t
 others are ``continuation`` records that name its id (``WARC-Segment-Origin-ID``), their
 ``WARC-Segment-Number`` and, on the last, ``WARC-Segment-Total-Length``. Equal payloads of at least
 ``REVISIT`` bytes are stored once, under the largest page id; the others become ``revisit`` records.
-Archives are gzip files in a folder that Spark's own writer fills, so any store that Spark reaches will do.
+Every record is a gzip member of its own, so that readers can seek, and a file holds at most ``RECORDS_PER_FILE`` of
+them, each of one segment at most. Spark's own text writer fills the folder, so any store that Spark reaches will do: a
+member's last byte is the high byte of its length, 0 for any segment, which the writer sets as its line separator.
 
-Reading: whole archives are parsed record by record by their lengths. Segments are grouped by origin
+Reading: archives, of one or many gzip members or none, are inflated piece by piece and parsed record by record by their lengths. Segments are grouped by origin
 (a group is one record), put in order of their numbers, checked against the total length, freed of
 the chunk framing, and checked against the digest in the header. Revisits are resolved against
 their response by a join.
@@ -25,7 +27,7 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -37,8 +39,9 @@ from .common import shared_dir, shuffle_width, small_batches, stage
 SEGMENT = 32 * 1024
 CHUNK = 4 * 1024
 REVISIT = 1000
-#: Pages in an archive file, at most.
-PAGES_PER_FILE = 2000
+#: Records in an archive file, at most: with segments of 32 KB under 140 MB.
+RECORDS_PER_FILE = 4096
+PIECE = 64 * 1024
 VERSION = b"WARC/1.1\r\n"
 DATE = "2024-01-01T00:00:00Z"
 SEGMENTS = "origin string, page_id long, number long, kind string, digest string, refers long, total long, block binary, payload_bytes long, found_digest string, intact boolean"
@@ -91,23 +94,59 @@ def page_records(record_id: str, page_id: int, url: str, payload: bytes, digest:
     return out
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Records of an archive: fields by lower-case name, and the block."""
-    at = 0
-    while at < len(data):
-        if data[at : at + len(VERSION)] != VERSION:
-            raise ValueError(f"no record at byte {at}")
-        end = data.index(b"\r\n\r\n", at)
-        fields = {}
-        for line in data[at + len(VERSION) : end].decode("utf-8", "replace").split("\r\n"):
-            k, _, v = line.partition(":")
-            fields[k.strip().lower()] = v.strip()
-        begin = end + 4
-        stop = begin + int(fields["content-length"])
-        if data[stop : stop + 4] != b"\r\n\r\n":
-            raise ValueError(f"record at byte {at} doesn't end where it says")
-        yield fields, data[begin:stop]
-        at = stop + 4
+def member(record: bytes) -> bytes:
+    """A closed record as a gzip member without its last byte, which is 0."""
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    out = packer.compress(record + b"\r\n\r\n") + packer.flush()
+    assert out[-1] == 0, "records of 16 MB or more need segments"
+    return out[:-1]
+
+
+def inflate(data: bytes, piece: int = PIECE) -> Iterator[bytes]:
+    """The content of an archive in pieces: gzip members one after the other, or plain bytes."""
+    packed = data[:2] == b"\x1f\x8b"
+    unpacker = zlib.decompressobj(31)
+    for at in range(0, len(data), piece):
+        rest = data[at : at + piece]
+        while rest and packed:
+            if unpacker.eof:
+                unpacker = zlib.decompressobj(31)
+            yield unpacker.decompress(rest)
+            rest = unpacker.unused_data
+        if rest:
+            yield rest
+    if packed and not unpacker.eof:
+        raise ValueError("archive ends inside a gzip member")
+
+
+def parse_records(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Records of an archive: fields by lower-case name, and the block. Holds one record and one piece."""
+    held, need = bytearray(), 0
+    head: tuple[dict[str, str], int, int] | None = None  # fields, begin and end of the block
+    for piece in pieces:
+        held += piece
+        while len(held) > need:
+            if head is None:
+                end = held.find(b"\r\n\r\n")
+                if not held.startswith(VERSION[: len(held)]):
+                    raise ValueError("no record where one should start")
+                if end < 0:
+                    break
+                fields = {}
+                for line in held[len(VERSION) : end].decode("utf-8", "replace").split("\r\n"):
+                    k, _, v = line.partition(":")
+                    fields[k.strip().lower()] = v.strip()
+                stop = end + 4 + int(fields["content-length"])
+                head, need = (fields, end + 4, stop), stop + 3
+                continue
+            fields, begin, stop = head
+            if held[stop : stop + 4] != b"\r\n\r\n":
+                raise ValueError("a record doesn't end where it says")
+            yield fields, bytes(held[begin:stop])
+            del held[: stop + 4]
+            head, need = None, 0
+    if held:
+        raise ValueError("archive ends inside a record")
 
 
 def with_digests(pages: DataFrame) -> DataFrame:
@@ -125,20 +164,24 @@ def with_digests(pages: DataFrame) -> DataFrame:
 def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, n = TaskContext.get().partitionId(), 0
     for batch in batches:
-        out = []
+        out, held = [], 0
         for r in batch.to_pylist():
             n += 1
-            out.append(b"\r\n\r\n".join(page_records(f"{r['page_id']}.{part}.{n}", r["page_id"], r["url"], r["payload"], r["digest"], r["refers_to"])))
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+            for x in page_records(f"{r['page_id']}.{part}.{n}", r["page_id"], r["url"], r["payload"], r["digest"], r["refers_to"]):
+                out.append(member(x))
+                held += len(out[-1])
+                if held > 4 << 20:
+                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+                    out, held = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
 
 def write_warc(pages: DataFrame, path: str) -> None:
     """Writes the archives of ``pages`` to the folder ``path``."""
     small_batches(pages.sparkSession, 500)
-    rows = with_digests(pages)
-    records = rows.mapInArrow(_write, "value binary").select(F.col("value").cast("string").alias("value"))
-    # A record is closed by two line ends, here the text writer's line separator.
-    records.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", PAGES_PER_FILE).text(path)
+    members = with_digests(pages).mapInArrow(_write, "value binary").select(F.col("value").cast("string").alias("value"))
+    members.write.option("lineSep", "\0").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def _whole(x: str | None) -> int | None:
@@ -155,10 +198,8 @@ def _parser(keep_payload: bool):
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column("content"):
-                data = content.as_py()
-                data = zlib.decompress(data, 31) if data[:2] == b"\x1f\x8b" else data
                 rows, size = [], 0
-                for f, block in parse_records(data):
+                for f, block in parse_records(inflate(content.as_py())):
                     s = {"origin": f.get("warc-segment-origin-id") or f["warc-record-id"], "page_id": _whole(f.get("page-id")), "number": _whole(f.get("warc-segment-number")) or 0, "kind": f["warc-type"], "digest": f.get("warc-payload-digest", "").removeprefix("sha1:") or None, "refers": _whole(f.get("refers-to-page-id")), "total": _whole(f.get("warc-segment-total-length")), "block": block}
                     found = (None, None, None)
                     if not s["number"]:  # whole records are decoded here; only segments travel
@@ -222,7 +263,7 @@ def read_warc(spark: SparkSession, path: str, keep_payload: bool = True, strict:
     """One row per record of the archives in ``path``: origin (its id), page_id, kind, payload_bytes,
     payload_digest, refers_to (a revisit's page), intact, payload (null for revisits)."""
     small_batches(spark, 500)
-    segments = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content").mapInArrow(_parser(keep_payload), SEGMENTS)
+    segments = spark.read.format("binaryFile").load(path).select("content").mapInArrow(_parser(keep_payload), SEGMENTS)
     dealt = segments.repartition(shuffle_width(spark), "origin").sortWithinPartitions("origin", "number")
     records = stage(dealt.mapInArrow(_reassemble(keep_payload), PAYLOADS), "warc-records")
     if strict:

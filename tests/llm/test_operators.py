@@ -47,7 +47,12 @@ def test_chunk_framing_and_segments():
         payload = rng.randbytes(n)
         assert warc.unframe(warc.frame(payload)) == payload
         records = warc.page_records("7.0.1", 7, "http://x/ y", payload, warc.hashlib.sha1(payload).hexdigest(), None)
-        parsed = list(warc.parse_records(b"".join(r + b"\r\n\r\n" for r in records)))
+        archive = b"".join(warc.member(r) + b"\0" for r in records)
+        assert warc.zlib.decompress(warc.member(records[0]) + b"\0", 31) == records[0] + b"\r\n\r\n"
+        parsed = list(warc.parse_records(warc.inflate(archive, 1000)))
+        assert parsed == list(warc.parse_records(warc.inflate(b"".join(r + b"\r\n\r\n" for r in records), 700)))
+        with pytest.raises(ValueError):
+            list(warc.parse_records(warc.inflate(archive[:-3])))
         assert len(parsed) == len(records) == max(1, -(-sum(len(b) for _, b in parsed) // warc.SEGMENT))
     with pytest.raises(ValueError):
         warc.unframe(b"5\r\nabc\r\n0\r\n\r\n")
@@ -63,6 +68,17 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(pages.where("false")).count() == 0
 
 
+def test_a_page_beyond_any_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 100)
+    huge = random.Random(5).randbytes(10 << 20).hex()
+    pages = spark.createDataFrame([(1, "u", huge), (2, "u", "small")], "page_id long, url string, html string").coalesce(1)
+    warc.write_warc(pages, str(tmp_path / "a"))
+    files = list((tmp_path / "a").glob("part-*"))
+    assert len(files) > 3 and max(f.stat().st_size for f in files) < 100 * (warc.SEGMENT + 1000)
+    got = {r.page_id: (r.payload_bytes, r.payload_digest, r.intact) for r in warc.read_warc(spark, str(tmp_path / "a"), keep_payload=False).collect()}
+    assert got[1] == (len(huge), warc.hashlib.sha1(huge.encode()).hexdigest(), True) and got[2][0] == 5
+
+
 def test_damaged_segments(spark, tmp_path):
     payload = random.Random(2).randbytes(100_000)
     records = warc.page_records("1.0.1", 1, "u", payload, warc.hashlib.sha1(payload).hexdigest(), None)
