@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 import json as _json
-from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ..errors import UnsupportedFeatureError
-
 
 def _part(doc: Column, path: str) -> Column:
     return F.try_variant_get(F.try_parse_json(doc), path, "variant")
@@ -52,7 +49,8 @@ def json_object(keep_nulls: bool = True, **values: Column) -> Column:
 
 
 def json_array(*values: Column, keep_nulls: bool = False) -> Column:
-    items = F.array(*values)
+    """Values of any types; nulls are left out unless kept."""
+    items = F.array(*[v.cast("variant") for v in values])
     return F.to_json(items if keep_nulls else F.filter(items, lambda x: x.isNotNull()))
 
 
@@ -101,12 +99,3 @@ def json_modify(doc: Column, path: str, value: object) -> Column:
 
 def json_remove(doc: Column, path: str) -> Column:
     return json_modify(doc, path, None)
-
-
-def declined(name: str) -> Column:
-    raise UnsupportedFeatureError(name)
-
-
-def declined_names() -> Iterable[str]:
-    """JSON functions without meaning here."""
-    return ("json_table", "json_unquote", "json_type", "json_search")

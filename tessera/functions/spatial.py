@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BinaryType, StringType
 
 _POINT = r"^\s*POINT\s*\(\s*(\S+)\s+(\S+)\s*\)\s*$"
 
@@ -67,6 +68,56 @@ def st_intersects_box(a: tuple[Column, Column, Column, Column], b: tuple[Column,
     return (a[0] <= b[2]) & (b[0] <= a[2]) & (a[1] <= b[3]) & (b[1] <= a[3])
 
 
+@pandas_udf(StringType())
+def st_geomfromwkb(wkb: pd.Series) -> pd.Series:
+    """WKT of points and polygons in WKB, either byte order; null for other or broken bytes."""
+
+    def one(data: bytes) -> str | None:
+        order = "<" if data[:1] == b"\x01" else ">"
+        try:
+            kind = struct.unpack_from(order + "I", data, 1)[0]
+            if kind == 1:
+                return "POINT ({!r} {!r})".format(*struct.unpack_from(order + "2d", data, 5))
+            if kind != 3:
+                return None
+            rings, at = [], 9
+            for _ in range(struct.unpack_from(order + "I", data, 5)[0]):
+                n = struct.unpack_from(order + "I", data, at)[0]
+                values = struct.unpack_from(f"{order}{2 * n}d", data, at + 4)
+                rings.append("(" + ", ".join(f"{x!r} {y!r}" for x, y in zip(values[::2], values[1::2])) + ")")
+                at += 4 + 16 * n
+            return f"POLYGON ({', '.join(rings)})"
+        except struct.error:
+            return None
+
+    return wkb.map(one, na_action="ignore")
+
+
+@pandas_udf(BinaryType())
+def st_asbinary(wkt: pd.Series) -> pd.Series:
+    """Little-endian WKB of points and of polygons' outer rings in WKT; null for other texts."""
+
+    def one(text: str) -> bytes | None:
+        if m := re.match(_POINT, text):
+            return struct.pack("<BI2d", 1, 1, float(m[1]), float(m[2]))
+        if not re.match(r"\s*POLYGON", text):
+            return None
+        ring = _ring(text)
+        return struct.pack(f"<BIII{2 * len(ring)}d", 1, 3, 1, len(ring), *[v for p in ring for v in p])
+
+    return wkt.map(one, na_action="ignore")
+
+
+def spatial_join(points: DataFrame, boxes: DataFrame, x: str, y: str, bounds: tuple[str, str, str, str], size: float) -> DataFrame:
+    """Points beside the boxes (columns x0, y0, x1, y1) that hold them: both meet in cells of a grid, so that only neighbours
+    are compared. ``size`` should be about a box's width: a box is repeated for every cell that it touches."""
+    x0, y0, x1, y1 = (F.col(b) for b in bounds)
+    cells = lambda a, b: F.sequence(F.floor(a / size), F.floor(b / size))
+    spread = boxes.withColumn("grid_x", F.explode(cells(x0, x1))).withColumn("grid_y", F.explode(cells(y0, y1)))
+    placed = points.withColumns({"grid_x": F.floor(F.col(x) / size), "grid_y": F.floor(F.col(y) / size)})
+    return placed.join(spread, ["grid_x", "grid_y"]).where(F.col(x).between(x0, x1) & F.col(y).between(y0, y1)).drop("grid_x", "grid_y")
+
+
 @pandas_udf(StringType())
 def st_asgeojson(wkt: pd.Series) -> pd.Series:
     """GeoJSON of points and polygons in WKT."""

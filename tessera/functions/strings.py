@@ -83,8 +83,18 @@ def format_date(value: Column, pattern: str) -> Column:
 
 
 def format_number(value: Column, pattern: str) -> Column:
-    """FORMAT of a number: ``N<digits>``, ``F<digits>`` or ``D<width>``."""
+    """FORMAT of a number, invariant culture: ``N<digits>``, ``F<digits>``, ``D<width>``, ``P<digits>`` (percent), ``C<digits>``
+    (currency, negative in brackets), or a picture of ``#``, ``0``, ``,`` and one ``.``, such as ``#,##0.00``."""
+    if re.fullmatch(r"[#0,]+(\.[#0]+)?", pattern):
+        return _picture(value, pattern)
+    if not re.fullmatch(r"[A-Za-z]\d*", pattern):
+        raise UnsupportedFeatureError(f"number format {pattern}")
     kind, digits = pattern[0].upper(), int(pattern[1:] or 2)
+    if kind == "P":
+        return F.concat(F.format_number(value * 100, digits), F.lit(" %"))
+    if kind == "C":
+        plain = F.concat(F.lit("\u00a4"), F.format_number(F.abs(value), digits))
+        return F.when(value < 0, F.concat(F.lit("("), plain, F.lit(")"))).otherwise(plain)
     if kind == "N":
         return F.format_number(value, digits)
     if kind == "F":
@@ -95,3 +105,17 @@ def format_number(value: Column, pattern: str) -> Column:
         # the width is the least number of digits: longer numbers stay whole, and the sign stands before the zeros
         return F.concat(F.when(text.startswith("-"), "-").otherwise(""), F.lpad(plain, F.greatest(F.length(plain), F.lit(digits)), F.lit("0")))
     raise UnsupportedFeatureError(f"number format {pattern}")
+
+
+def _picture(value: Column, pattern: str) -> Column:
+    """Digits of a picture: zeros are always there, ``#`` only where a digit is, a comma groups by thousands."""
+    whole, _, part = pattern.partition(".")
+    least, most, always = whole.count("0"), len(part), part.rindex("0") + 1 if "0" in part else 0
+    text = F.format_number(F.abs(value), most)
+    text = text if "," in whole else F.replace(text, F.lit(","))
+    front, back = F.substring_index(text, ".", 1), F.substring_index(text, ".", -1) if most else F.lit("")
+    front = front if least else F.when(front == "0", "").otherwise(front)
+    front = F.lpad(front, F.greatest(F.length(front), F.lit(least)), F.lit("0"))
+    back = F.concat(F.substring(back, 1, always), F.rtrim(F.substr(back, F.lit(always + 1)), F.lit("0"))) if most else back
+    sign = F.when((value < 0) & F.regexp_like(text, F.lit("[1-9]")), "-").otherwise("")
+    return F.concat(sign, front, F.when(back != "", F.concat(F.lit("."), back)).otherwise(""))

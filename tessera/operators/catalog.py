@@ -47,6 +47,31 @@ def schema_diff(old: T.StructType, new: T.StructType) -> list[tuple[str, str, st
     return out + [("modified", n, text(was[n]), text(now[n])) for n in was if n in now and was[n] != now[n]]
 
 
+def diff_tables(old: dict[str, T.StructType], new: dict[str, T.StructType]) -> list[tuple[str, str, str, str | None, str | None]]:
+    """(change, table, column, old, new) of two whole schemas; a table that came or went is one row without a column."""
+    out = [("removed", t, "", None, None) for t in old if t not in new] + [("added", t, "", None, None) for t in new if t not in old]
+    return out + [(change, t, name, was, now) for t in old if t in new for change, name, was, now in schema_diff(old[t], new[t])]
+
+
+def tables(spark: SparkSession, schema: str) -> list[tuple[str, str]]:
+    """(name, kind) of a schema's tables and views."""
+    return sorted((t.name, "VIEW" if t.tableType == "VIEW" else "BASE TABLE") for t in spark.catalog.listTables(schema) if not t.isTemporary)
+
+
+def table_detail(spark: SparkSession, name: str) -> dict[str, object]:
+    """Columns, provider, key and row count of a table."""
+    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    df = spark.table(name)
+    return {"columns": columns(df), "provider": facts.get("Provider"), "keys": [k for k in properties.get("primary_key", "").split(",") if k], "rows": df.count()}
+
+
+def show(spark: SparkSession, what: str, name: str) -> DataFrame:
+    """SHOW TABLES, VIEWS, COLUMNS or CREATE TABLE of a schema or table."""
+    statements = {"tables": "SHOW TABLES IN {}", "views": "SHOW VIEWS IN {}", "columns": "SHOW COLUMNS IN {}", "create": "SHOW CREATE TABLE {}"}
+    return spark.sql(statements[what].format(name))
+
+
 def plan(df: DataFrame, mode: str = "formatted") -> str:
     return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -73,6 +73,28 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return merge(target, source, keys, update_set=values)[0]
 
 
+def bulk_create(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Inserts many rows at once; one whose key is there already raises. OUTPUT holds the new rows."""
+    missing = [c for c in target.columns if c not in rows.columns]
+    rows = rows.select("*", *[F.lit(None).cast(target.schema[c].dataType).alias(c) for c in missing]).select(*target.columns)
+    held = target.select(*keys, F.lit(True).alias("__there"))
+    clash = F.when(F.col("__there"), F.raise_error(F.lit("duplicate key in bulk create")).cast("boolean")).otherwise(F.lit(True))
+    return insert(target, rows.join(held, list(keys), "left").where(clash).select(*target.columns))
+
+
+def bulk_update(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Sets the columns of ``rows`` on the target rows of the same keys; keys that are not there are left out."""
+    values = {c: F.col(f"src_{c}") for c in rows.columns if c not in keys}
+    return merge(target, rows, keys, update_set=values, insert_when=F.lit(False))
+
+
+def derived(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
+    """Computed columns; later ones may use earlier ones."""
+    for name, value in fields.items():
+        df = df.withColumn(name, value)
+    return df
+
+
 def alive(df: DataFrame, deleted_at: str = "deleted_at") -> DataFrame:
     """Rows that no soft delete marks."""
     return df.where(F.col(deleted_at).isNull())
@@ -83,6 +105,18 @@ def as_of(history: DataFrame, at: Column, start: str = "valid_from", end: str =
     return history.where((F.col(start) <= at) & (F.col(end).isNull() | (at < F.col(end))))
 
 
+def as_of_join(left: DataFrame, right: DataFrame, by: Sequence[str], at: str, since: str, *ties: str) -> DataFrame:
+    """Every left row beside the last right row of its key with ``since`` <= ``at``, or nulls. ``ties`` order right rows
+    of one time. One sort of both tables by key and time; columns of ``right`` other than keys come as struct fields."""
+    others = [c for c in right.columns if c not in by]
+    events = right.select(*by, F.col(since).alias("__at"), F.lit(0).alias("__kind"), *[F.col(t).alias(f"__tie{k}") for k, t in enumerate(ties)], F.struct(*others).alias("__right"))
+    asks = left.select(*by, F.col(at).alias("__at"), F.lit(1).alias("__kind"), F.struct(*left.columns).alias("__left"))
+    both = events.unionByName(asks, allowMissingColumns=True)
+    order = Window.partitionBy(*by).orderBy("__at", "__kind", *[f"__tie{k}" for k in range(len(ties))])
+    found = both.withColumn("__right", F.last("__right", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return found.where("__kind = 1").select("__left.*", *[F.col("__right")[c].alias(c) for c in others])
+
+
 def optimistic_update(target: DataFrame, source: DataFrame, keys: Sequence[str], version: str = "version") -> tuple[DataFrame, DataFrame]:
     """Applies rows whose version is the stored one, and counts it up; OUTPUT holds what was applied."""
     values = {c: F.col(f"src_{c}") for c in source.columns if c not in keys and c != version} | {version: F.col(version) + 1}

@@ -75,3 +75,8 @@ def set_operation(kind: str, left: DataFrame, right: DataFrame, all_rows: bool =
     if (kind, all_rows) not in operations:
         raise UnsupportedFeatureError(f"set operation {kind}")
     return operations[kind, all_rows]()
+
+
+def max_parallel(df: DataFrame, degree: int) -> DataFrame:
+    """MAXDOP: at most so many tasks work on what follows, up to its next shuffle."""
+    return df.coalesce(degree)

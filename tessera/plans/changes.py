@@ -92,7 +92,7 @@ def scalar_udf(t: Tables) -> DataFrame:
 
 @query("select p_brand, round(exp(avg(ln(p_retailprice))), 4) as middle from part where p_retailprice > 0 group by 1")
 def aggregate_udf(t: Tables) -> DataFrame:
-    return t.part.groupBy("p_brand").agg(F.round(routines.geometric_mean("p_retailprice"), 4).alias("middle"))
+    return t.part.groupBy("p_brand").agg(F.round(routines.geometric_mean(c("p_retailprice")), 4).alias("middle"))
 
 
 @query("select r_regionkey, r_regionkey * 10 + i as v from region, (values (1), (2)) x(i)")
@@ -102,7 +102,10 @@ def table_udf(t: Tables) -> DataFrame:
     return t.spark.sql("select r_regionkey, v from udf_regions, lateral tens(r_regionkey)")
 
 
-@query()
+_SPARK_TYPES = "map {'BIGINT': 'bigint', 'INTEGER': 'int', 'DOUBLE': 'double', 'VARCHAR': 'string', 'TIMESTAMP': 'timestamp_ntz'}"
+
+
+@query(f"select table_name, column_index::int as ordinal, column_name, {_SPARK_TYPES}[data_type] as data_type, true as nullable from duckdb_columns() where table_name in ('region', 'nation', 'orders') and schema_name = 'main'")
 def introspect_columns(t: Tables) -> DataFrame:
     return catalog.columns_table(t.spark, {n: getattr(t, n) for n in ("region", "nation", "orders")})
 

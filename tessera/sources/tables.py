@@ -21,11 +21,30 @@ def jdbc_options(host: str, database: str, port: int = 1433, driver: str | None
     return options | ({"driver": driver} if driver else {})
 
 
+def jdbc_read(spark: SparkSession, options: dict[str, str], table: str, key: str | None = None, bounds: tuple[int, int] | None = None, parts: int = 8) -> DataFrame:
+    """A table over JDBC; with a numeric key and its bounds, read in ``parts`` ranges by as many tasks."""
+    reader = spark.read.format("jdbc").options(**options).option("dbtable", table)
+    if key and bounds:
+        reader = reader.options(partitionColumn=key, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=parts)
+    return reader.load()
+
+
+def jdbc_write(df: DataFrame, options: dict[str, str], table: str, mode: str = "append") -> None:
+    df.write.format("jdbc").options(**options).option("dbtable", table).mode(mode).save()
+
+
 def execute(spark: SparkSession, sql: str, parameters: Sequence[object] = ()) -> DataFrame:
     """One statement with ``?`` markers; values are bound, never pasted."""
     return spark.sql(sql, args=list(parameters)) if parameters else spark.sql(sql)
 
 
+def execute_many(spark: SparkSession, rows: Iterable[Sequence], schema: str, statement: str, name: str = "batch") -> DataFrame:
+    """One statement over a list of parameter rows, which it sees as the view ``name``; an empty list gives what the
+    statement gives for no row."""
+    values(spark, rows, schema).createOrReplaceTempView(name)
+    return spark.sql(statement)
+
+
 def split_script(script: str) -> list[str]:
     """Batches between lines that hold only GO."""
     return [b.strip() for b in re.split(r"(?im)^[ \t]*GO[ \t]*$", script) if b.strip()]
@@ -39,6 +58,13 @@ def values(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFr
     return spark.createDataFrame(list(rows), schema)
 
 
+def default_values(spark: SparkSession, schema: str, defaults: dict[str, object] | None = None, n: int = 1) -> DataFrame:
+    """DEFAULT VALUES: rows of each column's default, null where it has none."""
+    fields = spark.createDataFrame([], schema).schema
+    given = defaults or {}
+    return spark.range(n).select(*[F.lit(given.get(f.name)).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def openjson(df: DataFrame, column: str, schema: dict[str, tuple[str, str]] | None = None, path: str = "$") -> DataFrame:
     """Rows of a JSON array or members of an object, beside the other columns.
 
@@ -64,6 +90,16 @@ def tablesample(df: DataFrame, percent: float, seed: int | None = None) -> DataF
     return df.sample(fraction=percent / 100, seed=seed)
 
 
+def tablesample_rows(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """TABLESAMPLE n ROWS: those with the smallest hashes. Equal seeds give equal rows; every task sends ``n`` at most."""
+    return df.orderBy(F.xxhash64(F.lit(seed), *df.columns)).limit(n)
+
+
+def cycled(number: Column, low: int, high: int, increment: int = 1) -> Column:
+    """Values of a CYCLE sequence between MINVALUE and MAXVALUE, from its running number (from 0)."""
+    return F.lit(low) + F.pmod(number * F.lit(increment), F.lit(high - low + 1))
+
+
 def next_value(df: DataFrame, order: Sequence[str], start: int = 1, increment: int = 1, name: str = "next_value") -> DataFrame:
     """A gapless number in the given order.
 
@@ -92,5 +128,15 @@ def write(df: DataFrame, path: str, kind: str = "parquet", partition_by: Sequenc
     {"parquet": writer.parquet, "json": writer.json, "csv": lambda p: writer.csv(p, header=True), "tsv": lambda p: writer.csv(p, header=True, sep="\t")}[kind](path)
 
 
+def renamed(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """Column mapping: stored names to the names that the caller uses. Columns without an entry keep theirs."""
+    return df.withColumnsRenamed(mapping)
+
+
+def stored(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """The way back of ``renamed``."""
+    return df.withColumnsRenamed({v: k for k, v in mapping.items()})
+
+
 def select_into(df: DataFrame, table: str) -> None:
     df.write.saveAsTable(table)
