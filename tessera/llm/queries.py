@@ -75,12 +75,18 @@ ORACLES: dict[str, str] = {
     "op8_line_runs": """
         with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as nr from documents where text is not null),
         w as (select doc_id, nr, line, row_number() over (partition by doc_id order by nr) - 1 as pos from l where regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
-        p as (select doc_id, pos, line, lead(line) over (partition by doc_id order by pos) as next from w),
-        f as (select *, min((doc_id, pos)) over (partition by line, next) as first from p where next is not null),
-        s as (select doc_id, pos from f where first <> (doc_id, pos)),
-        g as (select distinct doc_id, pos + k as pos from s, (values (0), (1)) v(k)),
-        i as (select doc_id, pos, pos - row_number() over (partition by doc_id order by pos) as island from g),
-        r as (select doc_id, count(*) as lines_removed, count(distinct island) as runs_removed from i group by doc_id),
+        a as (select doc_id, list(line order by pos) as ls from w group by doc_id),
+        v as (select doc_id, ls, depth, unnest(range(0, len(ls) - depth + 1)) as pos from a join (select (1 << unnest(range(1, 21)))::bigint as depth) on len(ls) >= depth),
+        h as (select doc_id, pos, depth::bigint as depth, md5(array_to_string(list_slice(ls, pos + 1, pos + depth::bigint), chr(10))) as lines from v),
+        f as (select doc_id, pos, depth, min((doc_id, pos)) over (partition by depth, lines) as first from h),
+        c as (select doc_id, pos, max(depth) as depth, arg_max(first, depth) as first from f where first <> (doc_id, pos) group by doc_id, pos),
+        o as (select doc_id, pos, pos + depth as stop, first[1] as source, first[2] - pos as shift from c),
+        b as (select *, coalesce(max(stop) over (partition by doc_id, source, shift order by pos rows between unbounded preceding and 1 preceding), -1) < pos as opens from o),
+        n as (select *, sum(opens::int) over (partition by doc_id, source, shift order by pos) as nr from b),
+        u as (select distinct doc_id, min(pos) as start, max(stop) as stop from n group by doc_id, source, shift, nr),
+        m as (select * from u where not exists (select 1 from u z where z.doc_id = u.doc_id and z.start <= u.start and z.stop >= u.stop and (z.start < u.start or z.stop > u.stop))),
+        g as (select distinct doc_id, unnest(range(start, stop)) as pos from m),
+        r as (select doc_id, count(*) as lines_removed, (select count(*) from m where m.doc_id = g.doc_id) as runs_removed from g group by doc_id),
         k as (select l.doc_id, string_agg(l.line, chr(10) order by l.nr) as kept from l left join w using (doc_id, nr) left join g on g.doc_id = l.doc_id and g.pos = w.pos where g.pos is null group by l.doc_id)
         select d.doc_id, coalesce(lines_removed, 0)::bigint as lines_removed, coalesce(runs_removed, 0)::bigint as runs_removed,
                case when d.text is not null then sha256(coalesce(kept, '')) end as kept_sha256,
