@@ -123,3 +123,10 @@ def curriculum(docs: DataFrame, **parameters) -> DataFrame:
     # staged, so that the sort's sampling doesn't repeat the mix
     rows = stage(m.select(*kept, F.explode(epochs).alias("e")).select(*kept, F.col("e.words").alias("taken"), "e.epoch", F.col("e.at").alias("position")).where("position is not null"), "mix-order")
     return rows.orderBy("position", "doc_id", "epoch")
+
+
+def training_order(docs: DataFrame, **parameters) -> DataFrame:
+    """The rows of ``mix``, one per document with both its epochs' words in ``taken``, range-sorted by the position at which
+    training first meets it; documents that the mix doesn't take come last."""
+    # staged, so that the sort's sampling doesn't repeat the mix
+    return stage(mix(docs, **parameters), "mix-order").orderBy(F.col("position").asc_nulls_last(), "doc_id")

@@ -18,7 +18,7 @@ def op5_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.curriculum(load(spark, sf_dir, "documents")).drop("source")
+    return mixing.training_order(load(spark, sf_dir, "documents")).drop("source")
 
 
 def op7_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:

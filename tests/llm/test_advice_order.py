@@ -10,8 +10,18 @@ from tessera.llm import mixing, queries
 FOLDER = "/root/testdata/sf0.001"
 
 
-def test_op6_rows_come_in_training_order(spark):
+def test_op6_has_a_row_per_document_in_training_order(spark):
     rows = queries.op6_curriculum_mix(spark, FOLDER).collect()
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    order = [(r.position is None, r.position or 0.0) for r in rows]
+    assert order == sorted(order)
+    want = {r.doc_id: (r.size, r.taken) for r in mixing.mix(docs).collect()}
+    assert {r.doc_id: (r.size, r.taken) for r in rows} == want and any(r.taken > r.size for r in rows)
+
+
+def test_epochs_come_in_training_order(spark):
+    rows = mixing.curriculum(spark.read.parquet(f"{FOLDER}/documents.parquet")).collect()
     order = [r.position for r in rows]
     assert order == sorted(order) and None not in order
     taken = defaultdict(int)
