@@ -1,18 +1,22 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 A hash turns a unit vector by a pseudo-rotation (three rounds of random signs and the fast Hadamard
-transform) and takes the nearest signed axis. A table joins two such hashes; its cells are those of
-the first, and within a cell rows carry the second. A query probes, per table, the ``PROBES`` pairs of
-axes it is nearest to. In each cell the candidates are scored exactly (cosine, double precision) and
-the best go on; a query's best over all cells are its answer.
+transform) and takes the nearest signed axis. A table joins two such hashes; its cells are groups of
+neighbouring axes of the first, and within a cell rows carry both. A query probes, per table, the
+``PROBES`` pairs of axes it is nearest to, and travels once to each cell that holds some of them. In
+each cell the candidates are scored exactly (cosine, double precision) and the best go on; a query's
+best over all cells are its answer.
 
 Equal vectors are one class, with its few smallest distinct ids and how often each is stored: a vector
 that fills a third of the table is hashed and scored once. Wherever only the best go on, distinct ids
-are counted, as all rows of one id may turn out to be the query's own. Cells are split by a number of salts that grows with the rows. The random
-signs come from a seed; nothing is fitted.
+are counted, as all rows of one id may turn out to be the query's own. The random signs come from a
+seed; nothing is fitted. A cell takes as many axes as hold ``CELL_ROWS`` classes on average; one that
+holds more than twice that, as near copies of one vector do, is dealt over salts by its own count, and only its
+queries travel to each of them.
 
 Defined results: vectors that are null, zero or hold null or non-finite components take no part, as
-queries or candidates; vectors of different lengths don't match; ties go to the smaller id; repeated
+queries or candidates; vectors of different lengths don't match,
+and those of over ``LONGEST`` components raise an error; ties go to the smaller id; repeated
 ids are separate rows (a row is no candidate of queries of its own id; query rows of one id with
 different vectors are answered each, equal ones once); with fewer candidates than
 ``k`` all of those found come back; an empty table gives no row; extra columns are ignored.
@@ -30,12 +34,15 @@ from pyspark.sql import functions as F
 
 from .common import by_key, record_batch, shuffle_width, stage
 
-TABLES = 24
-PROBES = 160
+TABLES = 12
+PROBES = 400
 AXES = 32  # of each hash, among which the probed pairs are sought
 SEED = 20240501
 #: Index rows that a cell should have on average.
 CELL_ROWS = 2000
+#: Components of a vector: an axis takes 16 bits.
+LONGEST = 1 << 15
+CLASSES = "class long, first long, vector array<{kind}>, members array<struct<vec_id:long,copies:int>>, codes array<int>"
 CELLS = "cell long, kind int, class long, first long, codes binary, vector binary"
 FOUND = "query long, class long, first long, score double"
 
@@ -62,30 +69,67 @@ def axis_scores(unit: np.ndarray, table: int, part: int) -> np.ndarray:
     return np.concatenate([x, -x], 1)
 
 
-def _groups(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(class ids, their smallest vec_ids, vectors) of the batch, one for each length of vectors."""
-    ids, firsts = (np.array(batch.column(n).to_pylist(), np.int64) for n in ("class", "first"))
-    vectors = batch.column("vector")
-    lengths = np.array([len(v) for v in vectors.to_pylist()])
+def _groups(vectors: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, their vectors), once for each length of vectors."""
+    lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
     for n in np.unique(lengths):
         own = np.flatnonzero(lengths == n)
-        yield ids[own], firsts[own], np.stack([np.asarray(vectors[int(i)].as_py(), np.float64) for i in own])
+        yield own, vectors.take(pa.array(own)).flatten().to_numpy(zero_copy_only=False).reshape(len(own), n)
 
 
-def _cell(table: int, dim: int, axis: np.ndarray, salts: int) -> np.ndarray:
-    return ((np.int64(dim) * TABLES + table) * (1 << 16) + axis) * salts
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = vectors.astype(np.float64)
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def _index(salts: int, kind: str):
+def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds ``codes``: the pair of axes of each table, the first one in the upper 16 of 32 bits."""
+    for batch in batches:
+        codes = np.zeros((len(batch), TABLES), np.uint32)
+        for own, vectors in _groups(batch.column("vector")):
+            if vectors.shape[1] > LONGEST:
+                raise ValueError(f"vectors may have {LONGEST} components at most")
+            unit = _unit(vectors)
+            for t in range(TABLES):
+                codes[own, t] = axis_scores(unit, t, 0).argmax(1) << 16 | axis_scores(unit, t, 1).argmax(1)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1) * TABLES, pa.int32()), pa.array(codes.reshape(-1).view(np.int32)))
+        yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "codes"])
+
+
+class Cells:
+    """Numbers cells: by length of vectors, table and group of ``2**fold`` axes of the first hash. ``crowded`` has
+    the cells that are dealt over several salts."""
+
+    def __init__(self, fold: int, crowded: dict[int, int]):
+        self.fold, self.crowded = fold, crowded
+
+    def number(self, dim: int, table: int, axis):
+        return ((dim * TABLES + table) << 16) + (axis >> self.fold)
+
+    def column(self) -> Column:
+        """The same number, of the table ``t`` and the pair ``code`` of a row."""
+        return F.shiftleft(F.size("vector").cast("long") * TABLES + F.col("t"), 16) + F.shiftrightunsigned("code", 16 + self.fold)
+
+    def salts(self, cell: int) -> int:
+        return self.crowded.get(cell, 1)
+
+
+SALTED = 1 << 20  # salts of a cell, at most, in the numbers that rows are dealt by
+
+
+def _index(cells: Cells, kind: str):
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, firsts, vectors in _groups(batch):
-                unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+            classes, firsts = (batch.column(n).to_numpy() for n in ("class", "first"))
+            codes = batch.column("codes").flatten().to_numpy().view(np.uint32).reshape(len(batch), TABLES)
+            for own, vectors in _groups(batch.column("vector")):
                 raw = [v.tobytes() for v in vectors.astype(kind)]
                 for t in range(TABLES):
-                    first, second = axis_scores(unit, t, 0).argmax(1), axis_scores(unit, t, 1).argmax(1)
-                    cell = _cell(t, vectors.shape[1], first, salts) + ids % salts
-                    yield record_batch([(int(c), 0, int(i), int(f), int(s).to_bytes(4, "little"), v) for c, i, f, s, v in zip(cell, ids, firsts, second, raw)], CELLS)
+                    code = codes[own, t]
+                    rows = []
+                    for i, f, v, cell, c in zip(classes[own].tolist(), firsts[own].tolist(), raw, cells.number(vectors.shape[1], t, code.astype(np.int64) >> 16).tolist(), code.tolist()):
+                        rows.append((cell * SALTED + i % cells.salts(cell), 0, i, f, c.to_bytes(4, "little"), v))
+                    yield record_batch(rows, CELLS)
 
     return index
 
@@ -99,20 +143,21 @@ def best_pairs(first: np.ndarray, second: np.ndarray, probes: int) -> tuple[np.n
     return np.take_along_axis(a, best // m, 1), np.take_along_axis(b, best % m, 1)
 
 
-def _probe(salts: int, kind: str):
+def _probe(cells: Cells, kind: str):
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, firsts, vectors in _groups(batch):
-                unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+            classes, firsts = (batch.column(n).to_numpy() for n in ("class", "first"))
+            for own, vectors in _groups(batch.column("vector")):
+                unit = _unit(vectors)
                 raw = [v.tobytes() for v in vectors.astype(kind)]
                 for t in range(TABLES):
                     first, second = best_pairs(axis_scores(unit, t, 0), axis_scores(unit, t, 1), PROBES)
+                    pairs, groups = (first << 16 | second).astype("<u4"), cells.number(vectors.shape[1], t, first)
                     rows = []
-                    for i, f, v, x, y in zip(ids.tolist(), firsts.tolist(), raw, first, second):
-                        for axis in np.unique(x):
-                            codes = y[x == axis].astype("<u4").tobytes()
-                            base = int(_cell(t, vectors.shape[1], axis, salts))
-                            rows += [(base + s, 1, i, f, codes, v) for s in range(salts)]
+                    for i, f, v, pair, group in zip(classes[own].tolist(), firsts[own].tolist(), raw, pairs, groups):
+                        for cell in np.unique(group).tolist():
+                            codes = pair[group == cell].tobytes()
+                            rows += [(cell * SALTED + s, 1, i, f, codes, v) for s in range(cells.salts(cell))]
                     yield record_batch(rows, CELLS)
 
     return probe
@@ -143,13 +188,12 @@ def _score(kind: str, keep: int):
                 continue
             vectors = np.frombuffer(b"".join(r["vector"] for r in index), kind).astype(np.float64).reshape(len(index), -1)
             ids, firsts = (np.array([r[n] for r in index], np.int64) for n in ("class", "first"))
-            codes = np.frombuffer(b"".join(r["codes"] for r in index), "<u4")
+            # the pairs that the cell's rows have, and where the rows of each of them stand
+            pairs, places = np.unique(np.frombuffer(b"".join(r["codes"] for r in index), "<u4"), return_inverse=True)
             out = []
             for q in queries:
-                wanted = np.zeros(int(codes.max()) + 1, bool)
-                own = np.frombuffer(q["codes"], "<u4")
-                wanted[own[own < len(wanted)]] = True
-                at = np.flatnonzero(wanted[codes])
+                wanted = np.isin(pairs, np.frombuffer(q["codes"], "<u4"))
+                at = np.flatnonzero(wanted[places])
                 if len(at):
                     s = cosines(np.frombuffer(q["vector"], kind).astype(np.float64), vectors[at])
                     # ties at the last place all stay: their ids decide later
@@ -172,6 +216,19 @@ def leading(rows: DataFrame, name: str, n: int) -> DataFrame:
     return lead.withColumn("r", F.dense_rank().over(Window.partitionBy("query").orderBy(F.desc("lead"), name))).where(F.col("r") <= n).drop("lead", "r")
 
 
+def _layout(classes: DataFrame) -> Cells:
+    """Size of the cells by the number of classes, and salts of those that hold too many. At most one cell in ``CELL_ROWS``
+    classes and table is crowded, and no more than there are axes and lengths."""
+    by_length = classes.groupBy(F.size("vector").alias("dim")).count().agg(F.max("count"), F.max_by("dim", "count")).first()
+    n, dim = by_length[0] or 0, by_length[1] or 1
+    axes = 2 << max(1, (dim - 1).bit_length())
+    fold = min(axes.bit_length() - 1, max(0, round(math.log2(max(1.0, CELL_ROWS * axes / max(1, n))))))
+    cells = Cells(fold, {})
+    held = classes.select("vector", F.posexplode("codes").alias("t", "code")).groupBy(cells.column().alias("cell")).count()
+    cells.crowded = {r["cell"]: min(SALTED, math.ceil(r["count"] / CELL_ROWS)) for r in held.where(F.col("count") > 2 * CELL_ROWS).collect()}
+    return cells
+
+
 def nearest(rows: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): up to ``k`` nearest rows of each query row; ``rows`` has
     vec_id and embedding."""
@@ -184,12 +241,12 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     member = F.struct("vec_id", F.least("copies", F.lit(k)).cast("int").alias("copies"))
     classes = smallest.groupBy("vector").agg(F.min("vec_id").alias("first"), F.array_sort(F.collect_list(member)).alias("members"))
     # an id may have several vectors, so that its classes need numbers of their own: fixed once they are written
-    classes = stage(classes.withColumn("class", F.monotonically_increasing_id()), "vector-classes")
+    numbered = classes.select(F.monotonically_increasing_id().alias("class"), "first", "vector", "members")
+    classes = stage(numbered.mapInArrow(_hash, CLASSES.format(kind="float" if kind == "<f4" else "double")), "vector-classes")
     asked = fine.where("asks").select("vector").distinct().join(classes.select("vector", "class", "first"), "vector")
-    n = classes.count()
-    salts = max(1, math.ceil(n / (128 * CELL_ROWS)))
-    index = classes.select("class", "first", "vector").repartition(shuffle_width(spark), "class").mapInArrow(_index(salts, kind), CELLS)
-    probes = asked.select("class", "first", "vector").repartition(shuffle_width(spark), "class").mapInArrow(_probe(salts, kind), CELLS)
+    cells = _layout(classes)
+    index = classes.select("class", "first", "vector", "codes").repartition(shuffle_width(spark), "class").mapInArrow(_index(cells, kind), CELLS)
+    probes = asked.select("class", "first", "vector").repartition(shuffle_width(spark), "class").mapInArrow(_probe(cells, kind), CELLS)
     found = index.unionByName(probes).repartition(4 * shuffle_width(spark), "cell").sortWithinPartitions("cell").mapInArrow(_score(kind, k + 1), FOUND)
     # a class found in several tables has one score
     top = leading(found.groupBy("query", "class", "first").agg(F.max("score").alias("score")), "first", k + 1)

@@ -44,6 +44,31 @@ def test_repeated_ids(spark, rows):
     assert all(n != q for q, found in got.items() for _, n, _ in found)
 
 
+def test_crowded_cells_are_dealt_over_salts(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=16)
+    vectors = [centre + 0.02 * rng.normal(size=16) for _ in range(300)] + list(rng.normal(size=(300, 16)))
+    df = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    layouts, layout = [], crosspolytope._layout
+    monkeypatch.setattr(crosspolytope, "_layout", lambda classes: layouts.append(layout(classes)) or layouts[-1])
+
+    def answers():
+        return {(r.query_id, r["rank"], r.vec_id) for r in crosspolytope.nearest(df, F.col("vec_id") % 50 == 0, K).collect()}
+
+    whole = answers()
+    monkeypatch.setattr(crosspolytope, "CELL_ROWS", 25)
+    assert answers() == whole and len(whole) == 12 * K
+    assert not layouts[0].crowded and max(layouts[1].crowded.values()) >= 300 / 25 and layouts[1].fold < layouts[0].fold
+
+
+def test_overlong_vectors_are_refused(spark, monkeypatch):
+    df = spark.createDataFrame([(n, [1.0, float(n)]) for n in range(3)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(crosspolytope, "LONGEST", 1)
+    batch = next(iter(df.select("vec_id", F.col("embedding").alias("vector")).toArrow().to_batches()))
+    with pytest.raises(ValueError, match="components"):
+        list(crosspolytope._hash([batch]))
+
+
 def test_among_best_counts_distinct_ids():
     scores, ids = np.array([0.9, 0.8, 0.7, 0.6, 0.5, 0.4]), np.array([7, 7, 7, 8, 9, 10])
     assert crosspolytope.among_best(scores, ids, 2).tolist() == [0, 1, 2, 3]
