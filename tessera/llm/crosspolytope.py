@@ -10,9 +10,8 @@ best over all cells are its answer.
 Equal vectors are one class, with its few smallest distinct ids and how often each is stored: a vector
 that fills a third of the table is hashed and scored once. Wherever only the best go on, distinct ids
 are counted, as all rows of one id may turn out to be the query's own. The random signs come from a
-seed; nothing is fitted. A cell takes as many axes as hold ``CELL_ROWS`` classes on average; one that
-holds more than twice that, as near copies of one vector do, is dealt over salts by its own count, and only its
-queries travel to each of them.
+seed; nothing is fitted. A cell that holds more than ``CELL_ROWS`` classes, as near copies of one vector
+may, is dealt over salts by its own count, and only its queries travel to each of them.
 
 Defined results: vectors that are null, zero or hold null or non-finite components take no part, as
 queries or candidates; vectors of different lengths don't match,
@@ -38,8 +37,10 @@ TABLES = 12
 PROBES = 400
 AXES = 32  # of each hash, among which the probed pairs are sought
 SEED = 20240501
-#: Index rows that a cell should have on average.
-CELL_ROWS = 2000
+#: A cell takes this many bits' worth of neighbouring axes, at any size of the table, so that a query's cells are as many.
+FOLD = 2
+#: Index rows of a cell, beyond which it is dealt over salts.
+CELL_ROWS = 16_000
 #: Components of a vector: an axis takes 16 bits.
 LONGEST = 1 << 15
 CLASSES = "class long, first long, vector array<{kind}>, members array<struct<vec_id:long,copies:int>>, codes array<int>"
@@ -97,18 +98,18 @@ def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Cells:
-    """Numbers cells: by length of vectors, table and group of ``2**fold`` axes of the first hash. ``crowded`` has
-    the cells that are dealt over several salts."""
+    """Numbers cells: by length of vectors, table and group of ``2**FOLD`` axes of the first hash. ``crowded`` has
+    the salts of the cells that have several."""
 
-    def __init__(self, fold: int, crowded: dict[int, int]):
-        self.fold, self.crowded = fold, crowded
+    def __init__(self, crowded: dict[int, int]):
+        self.crowded = crowded
 
     def number(self, dim: int, table: int, axis):
-        return ((dim * TABLES + table) << 16) + (axis >> self.fold)
+        return ((dim * TABLES + table) << 16) + (axis >> FOLD)
 
     def column(self) -> Column:
         """The same number, of the table ``t`` and the pair ``code`` of a row."""
-        return F.shiftleft(F.size("vector").cast("long") * TABLES + F.col("t"), 16) + F.shiftrightunsigned("code", 16 + self.fold)
+        return F.shiftleft(F.size("vector").cast("long") * TABLES + F.col("t"), 16) + F.shiftrightunsigned("code", 16 + FOLD)
 
     def salts(self, cell: int) -> int:
         return self.crowded.get(cell, 1)
@@ -217,16 +218,9 @@ def leading(rows: DataFrame, name: str, n: int) -> DataFrame:
 
 
 def _layout(classes: DataFrame) -> Cells:
-    """Size of the cells by the number of classes, and salts of those that hold too many. At most one cell in ``CELL_ROWS``
-    classes and table is crowded, and no more than there are axes and lengths."""
-    by_length = classes.groupBy(F.size("vector").alias("dim")).count().agg(F.max("count"), F.max_by("dim", "count")).first()
-    n, dim = by_length[0] or 0, by_length[1] or 1
-    axes = 2 << max(1, (dim - 1).bit_length())
-    fold = min(axes.bit_length() - 1, max(0, round(math.log2(max(1.0, CELL_ROWS * axes / max(1, n))))))
-    cells = Cells(fold, {})
-    held = classes.select("vector", F.posexplode("codes").alias("t", "code")).groupBy(cells.column().alias("cell")).count()
-    cells.crowded = {r["cell"]: min(SALTED, math.ceil(r["count"] / CELL_ROWS)) for r in held.where(F.col("count") > 2 * CELL_ROWS).collect()}
-    return cells
+    """Finds the crowded cells: no more than there are tables, groups of axes and lengths of vectors."""
+    held = classes.select("vector", F.posexplode("codes").alias("t", "code")).groupBy(Cells({}).column().alias("cell")).count()
+    return Cells({r["cell"]: min(SALTED, math.ceil(r["count"] / CELL_ROWS)) for r in held.where(F.col("count") > CELL_ROWS).collect()})
 
 
 def nearest(rows: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
